@@ -13,23 +13,24 @@ DAMPING, ROUNDS, BATCH_ROWS = 0.85, 150, 200_000
 
 
 class _Ladder:
-    """One score's jumps inside each group: from an item uniformly to all strictly higher ones; the highest stay."""
+    """One score's jumps inside each group: from an item uniformly to those not below it; from the highest, anywhere."""
 
     def __init__(self, group: np.ndarray, score: np.ndarray, first: np.ndarray, size: np.ndarray):
         self.order = np.lexsort((-score, group))
         g, s = group[self.order], score[self.order]
         new = np.concatenate([[True], (g[1:] != g[:-1]) | (s[1:] != s[:-1])])
-        tie = np.cumsum(new) - 1
         starts = np.flatnonzero(new)
-        ends = np.append(starts[1:], len(g))
-        self.higher = (starts[tie] - first[g]).astype(float)
-        self.tie_end, self.group_end = ends[tie], (first + size)[g]
-        self.top = self.higher == 0
+        tie = np.cumsum(new) - 1
+        self.tie_start, self.group_start, self.group_end = starts[tie], first[g], (first + size)[g]
+        self.top = self.tie_start == self.group_start
+        self.targets = (np.append(starts[1:], len(g))[tie] - self.group_start).astype(float)
+        self.size = size[g].astype(float)
 
     def step(self, x: np.ndarray) -> np.ndarray:
         y = x[self.order]
-        total = np.concatenate([[0.0], np.cumsum(np.where(self.top, 0, y / np.where(self.top, 1, self.higher)))])
-        moved = total[self.group_end] - total[self.tie_end] + np.where(self.top, y, 0)
+        climbing = np.concatenate([[0.0], np.cumsum(np.where(self.top, 0, y / self.targets))])
+        leaving = np.concatenate([[0.0], np.cumsum(np.where(self.top, y, 0))])
+        moved = climbing[self.group_end] - climbing[self.tie_start] + (leaving[self.group_end] - leaving[self.group_start]) / self.size
         out = np.empty_like(x)
         out[self.order] = moved
         return out
@@ -38,8 +39,10 @@ class _Ladder:
 def stationary(group: np.ndarray, scores: list[np.ndarray], damping: float = DAMPING, rounds: int = ROUNDS) -> np.ndarray:
     """Stationary probability of every item, groups being contiguous runs numbered 0, 1, ...
 
-    A walker picks one of the scores with equal chance and jumps to a uniformly chosen item that is higher by it; with
-    probability ``1 - damping`` it restarts anywhere in the group. Missing scores (NaN) are lower than all others.
+    A walker picks one of the scores with equal chance and jumps to a uniformly chosen item among those not below its
+    own by that score, itself included. From the highest, where nothing is left to climb, and otherwise with probability
+    ``1 - damping``, it restarts anywhere in the group: were it to stay there, the items that lead by a single score
+    would hold all of its time. Missing scores (NaN) are lower than all others.
     """
     size = np.bincount(group)
     first = np.concatenate([[0], np.cumsum(size)[:-1]])
