@@ -9,7 +9,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.balanced import running_sums
+from ..plans.storage import discard, materialize
+
 DAMPING, ROUNDS, BATCH_ROWS = 0.85, 150, 200_000
+#: Items of a group that one task may hold (about 200 bytes each); larger groups walk as distributed tables.
+MOST_ITEMS = 1_000_000
 
 
 class _Ladder:
@@ -57,16 +62,19 @@ def stationary(group: np.ndarray, scores: list[np.ndarray], damping: float = DAM
     return x
 
 
-def fuse_scores(df: DataFrame, group: str, item: str, scores: list[str], damping: float = DAMPING) -> DataFrame:
+def fuse_scores(df: DataFrame, group: str, item: str, scores: list[str], damping: float = DAMPING, most_items: int = MOST_ITEMS) -> DataFrame:
     """``group, item, stationarity, fused_rank`` (from 1): items of each group in one order by all scores.
 
     Only the order of each score counts, never its range. Null and NaN scores are lowest; of repeated items the higher
     value of each score counts; ties of the walk (at 12 decimals) go to the lower item. Null groups and items are left
-    out. Groups are streamed in batches of whole groups, so a task holds at most one group more than a batch: about
-    100 bytes for each distinct item.
+    out. Groups are streamed in batches of whole groups. A group of more than ``most_items`` distinct items is never
+    held by a task: its walk runs over tables instead (:func:`_walk_large`), with the same result.
     """
     values = [F.max(F.when(~F.isnan(F.col(s).cast("double")), F.col(s).cast("double"))).alias(f"_s{i}") for i, s in enumerate(scores)]
-    items = df.filter(F.col(group).isNotNull() & F.col(item).isNotNull()).groupBy(group, item).agg(*values)
+    every = materialize(df.filter(F.col(group).isNotNull() & F.col(item).isNotNull()).groupBy(group, item).agg(*values), "items")
+    crowded = every.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most_items).select(group)
+    huge = not crowded.isEmpty()
+    items = every.join(crowded, group, "left_anti") if huge else every
     kinds = {f.name: f.dataType.simpleString() for f in items.schema}
     names = [f"_s{i}" for i in range(len(scores))]
 
@@ -97,7 +105,42 @@ def fuse_scores(df: DataFrame, group: str, item: str, scores: list[str], damping
             yield ranked(pd.concat(held, ignore_index=True))
 
     schema = f"`{group}` {kinds[group]}, `{item}` {kinds[item]}, stationarity DOUBLE, fused_rank BIGINT"
-    return items.repartition(group).sortWithinPartitions(group).mapInPandas(walk, schema)
+    small = items.repartition(group).sortWithinPartitions(group).mapInPandas(walk, schema)
+    return small.union(_walk_large(every.join(crowded, group, "left_semi"), group, item, names, damping)) if huge else small
+
+
+def _walk_large(items: DataFrame, group: str, item: str, names: list[str], damping: float) -> DataFrame:
+    """The same walk for groups of any size: each step is a sum by (group, score) and a range-partitioned running sum.
+
+    State is written to the shared folder after every step; the items of a group never meet in one task.
+    """
+    low = [F.coalesce(-F.col(s), F.lit(float("inf"))).alias(s) for s in names]  # ascending order is best first
+    x = items.select(group, item, *low)
+    size = x.groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
+    for i, s in enumerate(names):
+        n = x.groupBy(group, s).agg(F.count(F.lit(1)).alias("_m"))
+        steps = running_sums(n, group, [s], "_m", f"_to{i}").select(group, s, f"_to{i}", (F.col(f"_to{i}") == F.col("_m")).alias(f"_top{i}"))
+        x = x.join(steps, [group, s])
+    x = materialize(x.join(size, group).withColumn("_x", 1 / F.col("_size")), "walk")
+    for _ in range(ROUNDS):
+        moved = x
+        for i, s in enumerate(names):
+            y = x.groupBy(group, s).agg(F.sum(F.when(~F.col(f"_top{i}"), F.col("_x") / F.col(f"_to{i}")).otherwise(0.0)).alias("_y"))
+            upto = running_sums(y, group, [s], "_y", "_c")
+            whole = x.groupBy(group).agg(F.sum(F.when(~F.col(f"_top{i}"), F.col("_x") / F.col(f"_to{i}")).otherwise(0.0)).alias("_all"), F.sum(F.when(F.col(f"_top{i}"), F.col("_x")).otherwise(0.0)).alias("_left"))
+            came = upto.join(whole, group).select(group, s, (F.col("_all") - F.col("_c") + F.col("_y")).alias(f"_in{i}"), F.col("_left").alias(f"_left{i}"))
+            moved = moved.join(came, [group, s])
+        share = sum(F.col(f"_in{i}") + F.col(f"_left{i}") / F.col("_size") for i in range(len(names))) / len(names)
+        nxt = materialize(moved.withColumn("_new", damping * share + (1 - damping) / F.col("_size")).select(*[c for c in x.columns if c != "_x"], F.col("_x").alias("_old"), F.col("_new").alias("_x")), "walk")
+        change = nxt.agg(F.max(F.abs(F.col("_x") - F.col("_old")))).first()[0]
+        discard(x)
+        x = nxt.drop("_old")
+        x.phrasemill_path = nxt.phrasemill_path  # type: ignore[attr-defined]
+        if change < 1e-13:
+            break
+    out = x.select(group, item, F.round("_x", 12).alias("stationarity")).withColumn("_o", -F.col("stationarity")).withColumn("_one", F.lit(1))
+    placed = running_sums(out, group, ["_o", item], "_one", "fused_rank")
+    return placed.select(group, item, "stationarity", F.col("fused_rank").cast("bigint").alias("fused_rank"))
 
 
 def requested_ranking(ranked: DataFrame, requests: DataFrame) -> DataFrame:
