@@ -48,40 +48,48 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str, start: int = 0) ->
     return out.withColumn(name, F.col("_o") + at).drop("_p", "_o", "_mid")
 
 
-def running_counts(df: DataFrame, key: str, order: str, name: str = "ordinal") -> DataFrame:
-    """Distinct ``key, order`` pairs with the position ``name`` (from 1) of ``order`` among those of its key.
+def running_sums(df: DataFrame, key: str, order: Sequence[str], value: str, name: str) -> DataFrame:
+    """``df`` with ``name``: the sum of ``value`` over the rows of the same key up to this one, in the order of ``order``.
 
-    Nulls in either column come first and count as a value. Positions are counted inside each range partition; a key
-    that began in an earlier partition is moved up by the counts found there.
+    Nulls come first and null keys form one group; a null value counts as 0. Rows equal in key and order get some order.
+    Sums run inside each range partition; a key that began in earlier partitions is moved up by its totals there, for
+    which the rows are written to the shared folder first.
     """
-    ranged = df.select(key, order).repartitionByRange(F.col(key), F.col(order)).groupBy(key, order).agg(F.count(F.lit(1)).alias("n_rows"))
-    ranged = ranged.sortWithinPartitions(F.col(key).asc_nulls_first(), F.col(order).asc_nulls_first()).withColumn("_pid", F.spark_partition_id())
-    fields = ranged.schema
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + f", `{name}` BIGINT"
+    at = [F.col(c).asc_nulls_first() for c in (key, *order)]
+    ranged = df.repartitionByRange(*at).sortWithinPartitions(*at).withColumn("_pid", F.spark_partition_id())
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranged.schema) + f", `{name}` DOUBLE"
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, seen = object(), 0
+        open_key, so_far = object(), 0.0
         for pdf in batches:
             if pdf.empty:
                 continue
             k = pdf[key]
-            new = (k != k.shift()) & ~(k.isna() & k.shift().isna())
-            first = k.iloc[0]
-            carried = first == last or (pd.isna(first) and last is None)
-            new.iloc[0] = not carried
+            new = ~((k == k.shift()) | (k.isna() & k.shift().isna()))
+            first = None if pd.isna(k.iloc[0]) else k.iloc[0]
+            new.iloc[0] = first != open_key
             run = new.cumsum()
-            pos = pdf.groupby(run).cumcount() + 1
-            if carried:
-                pos = pos.where(run > 0, pos + seen)
-            last, seen = (None if pd.isna(k.iloc[-1]) else k.iloc[-1]), int(pos.iloc[-1])
-            yield pdf.assign(**{name: pos.astype("int64")})
+            sums = pdf[value].astype(float).fillna(0).groupby(run).cumsum()
+            if first == open_key:
+                sums = sums.where(run > 0, sums + so_far)
+            open_key, so_far = (None if pd.isna(k.iloc[-1]) else k.iloc[-1]), float(sums.iloc[-1])
+            yield pdf.assign(**{name: sums})
 
     kept = materialize(ranged.mapInPandas(scan, schema), "running")
-    states = kept.groupBy(F.col(key).alias("_k"), "_pid").agg(F.count(F.lit(1)).alias("_n"))
-    parts = states.groupBy("_k").agg(F.array_sort(F.collect_list(F.struct("_pid", "_n"))).alias("_s")).filter(F.size("_s") > 1)
-    moved = parts.select("_k", F.posexplode("_s").alias("_i", "_x"), "_s").select(
-        "_k", F.col("_x._pid").alias("_pid"), F.aggregate(F.slice("_s", F.lit(1), F.col("_i")), F.lit(0).cast("bigint"), lambda a, x: a + x["_n"]).alias("_off")
-    )
+    states = kept.groupBy(F.col(key).alias("_k"), F.col("_pid").alias("_p")).agg(F.sum(F.coalesce(F.col(value).cast("double"), F.lit(0.0))).alias("_v"))
+    parts = states.groupBy("_k").agg(F.array_sort(F.collect_list(F.struct("_p", "_v"))).alias("_s")).filter(F.size("_s") > 1)
+    before = F.aggregate(F.slice("_s", F.lit(1), F.col("_i")), F.lit(0.0), lambda a, x: a + x["_v"])
+    moved = parts.select("_k", F.posexplode("_s").alias("_i", "_x"), "_s").select("_k", F.col("_x._p").alias("_p"), before.alias("_off"))
     # Only keys that straddle a boundary are here: at most two rows a partition.
-    out = kept.join(F.broadcast(moved), F.col(key).eqNullSafe(F.col("_k")) & (kept["_pid"] == moved["_pid"]), "left")
-    return out.select(key, order, "n_rows", (F.col(name) + F.coalesce(F.col("_off"), F.lit(0))).alias(name))
+    out = kept.join(F.broadcast(moved), F.col(key).eqNullSafe(F.col("_k")) & (F.col("_pid") == F.col("_p")), "left")
+    return out.select(*df.columns, (F.col(name) + F.coalesce("_off", F.lit(0.0))).alias(name))
+
+
+def running_counts(df: DataFrame, key: str, order: str, name: str = "ordinal") -> DataFrame:
+    """Distinct ``key, order`` pairs, ``n_rows`` of each, and the position ``name`` (from 1) of ``order`` within its key.
+
+    Nulls in either column come first and count as a value.
+    """
+    pairs = df.select(key, order).repartitionByRange(F.col(key), F.col(order)).groupBy(key, order).agg(F.count(F.lit(1)).alias("n_rows"))
+    out = running_sums(pairs.withColumn("_one", F.lit(1)), key, [order], "_one", name)
+    return out.select(key, order, "n_rows", F.col(name).cast("bigint").alias(name))

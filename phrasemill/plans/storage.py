@@ -48,3 +48,9 @@ def discard(df: DataFrame | None) -> None:
         jvm = df.sparkSession._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete everything the engine wrote below the shared folder; results that still read from there become unreadable."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/phrasemill")
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
