@@ -119,6 +119,12 @@ def _resolve(word: str, target: str) -> str | None:
     return unicodedata.normalize("NFC", "".join(out))
 
 
+@lru_cache(200_000)
+def _scripts(word: str) -> tuple[tuple[str, int], ...]:
+    """Letters of a word by script."""
+    return tuple(Counter(script(c) for c in word if c.isalpha()).items())
+
+
 def suspects(text: str) -> dict[str, list[str]]:
     """Words of a plain text that mix scripts, or hold look-alikes only in a text of another script, with possible repairs.
 
@@ -131,11 +137,11 @@ def suspects(text: str) -> dict[str, list[str]]:
     odd = [w for w in words if not w.isascii()]
     if not odd:
         return {}
-    per = {w: Counter(script(c) for c in w if c.isalpha()) if not w.isascii() else Counter({"LATIN": len(w)}) for w in words}
-    whole: Counter[str] = Counter()
+    per = {w: dict(_scripts(w)) for w in odd}
+    whole: Counter[str] = Counter(LATIN=sum(len(w) for w in words if w.isascii()))
     for n in per.values():
         whole.update(n)
-    main = max(whole, key=lambda x: (whole[x], x)) if whole else "LATIN"
+    main = max(whole, key=lambda x: (whole[x], x))
     out = {}
     for w in odd:
         order = sorted(per[w], key=lambda x: (-per[w][x], x != main, x))
@@ -150,7 +156,7 @@ def suspects(text: str) -> dict[str, list[str]]:
 
 def pure_words(text: str) -> set[str]:
     """Words of one script."""
-    return {w for w in WORD.findall(text) if w.isascii() or len({script(c) for c in w if c.isalpha()}) == 1}
+    return {w for w in WORD.findall(text) if w.isascii() or len(_scripts(w)) == 1}
 
 
 def replace_words(text: str, table: dict[str, str]) -> str:

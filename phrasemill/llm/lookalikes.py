@@ -13,25 +13,14 @@ from ..plans.storage import materialize
 from .characters import plain, pure_words, replace_words, suspects
 
 
-def _suspect_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        rows = {}
-        for text in b.column(0).to_pylist():
-            if text and not text.isascii():
-                for w, forms in suspects(plain(text)).items():
-                    rows.update({(w, k, f): None for k, f in enumerate(forms)})
-        cols = list(zip(*rows)) or [()] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string())], ["word", "choice", "form"])
-
-
 def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct one-script words, folded within each task while the set stays bounded."""
+    """Distinct one-script words of plain texts, folded within each task while the set stays bounded."""
     seen: set[str] = set()
     for b in batches:
         new = set()
         for text in b.column(0).to_pylist():
             if text:
-                new |= pure_words(plain(text))
+                new |= pure_words(text)
         new -= seen
         if len(seen) > 500_000:
             seen.clear()
@@ -39,49 +28,58 @@ def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.string())], ["form"])
 
 
-def word_repairs(docs: DataFrame, text: str) -> DataFrame:
-    """``word, form``: for each disguised word of the corpus the form to write instead.
+def _normalised(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``key, text, canonical, odd``: each text in plain form, and its suspect words with their possible repairs."""
+    kind = docs.schema[key].dataType.simpleString()
+    pair = pa.list_(pa.struct([("word", pa.string()), ("form", pa.string()), ("choice", pa.int32())]))
+
+    def normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [None if t is None else plain(t) for t in b.column(1).to_pylist()]
+            odd = [[(w, f, i) for w, forms in suspects(t).items() for i, f in enumerate(forms)] if t else [] for t in texts]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(odd, pair)], [key, "text", "canonical", "odd"])
+
+    schema = f"`{key}` {kind}, text STRING, canonical STRING, odd ARRAY<STRUCT<word: STRING, form: STRING, choice: INT>>"
+    return docs.select(key, F.col(text).alias("text")).mapInArrow(normal, schema)
+
+
+def word_repairs(rows: DataFrame) -> DataFrame:
+    """``word, form``: for each disguised word of normalised rows the form to write instead.
 
     Accepted is the first of a word's possible forms that the corpus has as a word of one script, or that two or more
     differently disguised words agree on. Both sides are distinct before they are joined by form; the vocabulary is
     never collected.
     """
-    texts = docs.select(text).filter(F.col(text).isNotNull())
-    odd = materialize(texts.mapInArrow(_suspect_words, "word STRING, choice INT, form STRING").distinct(), "suspects")
-    known = texts.mapInArrow(_vocabulary, "form STRING").join(odd.select("form").distinct(), "form", "left_semi").distinct()
+    odd = rows.filter(F.size("odd") > 0).select(F.inline("odd")).distinct()
+    known = rows.select("canonical").mapInArrow(_vocabulary, "form STRING").join(odd.select("form").distinct(), "form", "left_semi").distinct()
     agreed = odd.groupBy("form").agg(F.count_distinct("word").alias("n")).filter("n > 1").select("form")
     good = odd.join(known.union(agreed).distinct(), "form")
     return good.groupBy("word").agg(F.min_by("form", "choice").alias("form"))
 
 
 def canonical_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, text, canonical`` of every row; null stays null.
+    """``key, text, canonical`` of every row (``key`` unique and not null); a null text stays null.
 
     Invisible characters go, single gaps become spaces, full-width forms, ligatures and composed letters get their
     ordinary form; then disguised words are repaired by :func:`word_repairs`. Case, accents and raised digits stay.
-    Only rows with a suspect word take part in the joins by word; all others pass in one narrow step.
+    The plain form is computed once and written to the shared folder. Only rows with a suspect word take part in the
+    joins by word; all others pass as they are.
     """
-    repairs = materialize(word_repairs(docs, text), "repairs")
+    rows = materialize(_normalised(docs, key, text), "normal")
     kind = docs.schema[key].dataType.simpleString()
-
-    def normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = [None if t is None else plain(t) for t in b.column(1).to_pylist()]
-            odd = [list(suspects(t)) if t else [] for t in texts]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(odd, pa.list_(pa.string()))], [key, "text", "canonical", "odd"])
-
-    rows = materialize(docs.select(key, F.col(text).alias("text")).mapInArrow(normal, f"`{key}` {kind}, text STRING, canonical STRING, odd ARRAY<STRING>"), "normal")
-    odd = rows.filter(F.size("odd") > 0).select(key, F.explode("odd").alias("word")).join(repairs, "word")
-    per_row = odd.groupBy(key).agg(F.collect_list(F.struct("word", "form")).alias("repairs"))  # at most the row's words
+    some = rows.filter(F.size("odd") > 0)
+    words = some.select(key, F.explode(F.array_distinct(F.col("odd.word"))).alias("word")).join(word_repairs(rows), "word")
+    per_row = words.groupBy(key).agg(F.collect_list(F.struct("word", "form")).alias("repairs"))  # at most the row's words
 
     def repaired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [replace_words(t, {r["word"]: r["form"] for r in rs}) for t, rs in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            pairs = b.column(3).to_pylist()
+            out = [replace_words(t, {r["word"]: r["form"] for r in rs} if rs else {}) for t, rs in zip(b.column(2).to_pylist(), pairs)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string())], [key, "text", "canonical"])
 
-    fixed = rows.filter(F.size("odd") > 0).drop("odd").join(per_row, key).select(key, "text", "canonical", "repairs").mapInArrow(repaired, f"`{key}` {kind}, text STRING, canonical STRING")
-    same = rows.filter(F.size("odd") > 0).drop("odd").join(per_row.select(key), key, "left_anti")
-    return rows.filter(F.col("odd").isNull() | (F.size("odd") == 0)).drop("odd").union(same.select(key, "text", "canonical")).union(fixed)
+    joined = some.select(key, "text", "canonical").join(per_row, key, "left")
+    fixed = joined.mapInArrow(repaired, f"`{key}` {kind}, text STRING, canonical STRING")
+    return rows.filter(F.coalesce(F.size("odd") <= 0, F.lit(True))).select(key, "text", "canonical").union(fixed)
 
 
 def same_looking(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
