@@ -41,23 +41,35 @@ def tokenize(text: Column, hyphen: str = "split") -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN if hyphen == "split" else TOKEN_KEEPING_HYPHENS), F.lit(0))
 
 
-def word_class(w: Column) -> Column:
-    """Class letter of one token."""
-    low = F.lower(w)
-    long = F.length(w) > 4
+def _ends_with(low: Column, ending: str) -> Column:
+    """Whether a word ends in one of the alternatives of ``(x|y)$``; set look-ups on its tail, no regular expression."""
+    by_length: dict[int, list[str]] = {}
+    for e in ending.strip("()$").split("|"):
+        by_length.setdefault(len(e), []).append(e)
+    tests = [F.substring(low, -n, n).isin(*es) for n, es in sorted(by_length.items())]
+    out = tests[0]
+    for t in tests[1:]:
+        out = out | t
+    return out
+
+
+def word_class(low: Column) -> Column:
+    """Class letter of one lower-case token. A token that starts with a Latin letter is tested without patterns."""
+    other = ~((low >= "a") & (low < "{"))
+    long = F.length(low) > 4
     return (
-        F.when(w.rlike(r"^[^\p{L}0-9]"), "P")
-        .when(w.rlike("^[0-9]") | low.isin(*NUMBER_WORDS), "D")
+        F.when(other & low.rlike(r"^[^\p{L}0-9]"), "P")
+        .when((other & low.rlike("^[0-9]")) | low.isin(*NUMBER_WORDS), "D")
         .when(low.isin(*STOP_WORDS), "S")
-        .when(low.isin(*VERBS) | (long & low.rlike(VERB_ENDING)), "V")
-        .when(long & low.rlike(ADJECTIVE_ENDING), "A")
+        .when(low.isin(*VERBS) | (long & _ends_with(low, VERB_ENDING)), "V")
+        .when(long & _ends_with(low, ADJECTIVE_ENDING), "A")
         .otherwise("N")
     )
 
 
-def class_string(toks: Column) -> Column:
-    """One class letter per token, joined."""
-    return F.array_join(F.transform(toks, word_class), "")
+def class_string(low: Column) -> Column:
+    """One class letter per lower-case token, joined."""
+    return F.array_join(F.transform(low, word_class), "")
 
 
 def lemma(w: Column) -> Column:

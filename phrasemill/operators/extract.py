@@ -93,9 +93,9 @@ def sections(df: DataFrame) -> DataFrame:
 
 
 def tokens(df: DataFrame, cfg: ExtractConfig = ExtractConfig()) -> DataFrame:
-    """Sections with ``toks`` (array) and ``cls`` (one letter per token)."""
+    """Sections with ``toks``, ``low`` (the same in lower case) and ``cls`` (one letter per token)."""
     out = sections(df).withColumn("toks", tokenize(F.col("text"), cfg.hyphen)).drop("text")
-    return out.withColumn("cls", class_string(F.col("toks")))
+    return out.withColumn("low", F.transform("toks", F.lower)).withColumn("cls", class_string(F.col("low")))
 
 
 def _all_spans(cfg: ExtractConfig) -> Column:
@@ -138,11 +138,10 @@ def _passes(core: Column, cfg: ExtractConfig) -> Column:
 
 
 def _norm_tokens(cfg: ExtractConfig) -> Column:
-    toks, cls = F.col("toks"), F.col("cls")
-    out = toks
+    cls, words = F.col("cls"), F.col("low" if cfg.lowercase else "toks")
     if cfg.lemmatize:
-        out = F.transform(toks, lambda w, i: F.when(F.substr(cls, i + 1, F.lit(1)).isin("A", "N"), lemma(w)).otherwise(w))
-    return F.transform(out, F.lower) if cfg.lowercase else out
+        return F.transform(words, lambda w, i: F.when(F.substr(cls, i + 1, F.lit(1)).isin("A", "N"), lemma(w)).otherwise(w))
+    return words
 
 
 def _worded(s: Column) -> Column:
