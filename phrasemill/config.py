@@ -9,7 +9,7 @@ from pathlib import Path
 from typing import Any
 
 #: Keys that the configuration files may hold but that change nothing.
-IGNORED = ("trim_stopword_edges", "language", "title_weight", "abstract_weight", "spacy_model", "n_process", "batch_size")
+IGNORED = ("trim_stopword_edges", "language", "title_weight", "abstract_weight", "n_process", "batch_size")
 
 
 def load_json(path: str | Path) -> dict[str, Any]:
@@ -35,6 +35,8 @@ class ExtractConfig:
     blacklist_path: str | None = None
     hyphen: str = "split"
     tf_mode: str = "section"
+    nlp_backend: str = "rules"
+    spacy_model: str = "en_core_web_sm"
 
     @property
     def lemmatize(self) -> bool:

@@ -94,6 +94,12 @@ def sections(df: DataFrame) -> DataFrame:
 
 def tokens(df: DataFrame, cfg: ExtractConfig = ExtractConfig()) -> DataFrame:
     """Sections with ``toks``, ``low`` (the same in lower case) and ``cls`` (one letter per token)."""
+    if cfg.nlp_backend == "spacy":
+        from ..functions.spacy_backend import spacy_tokens
+
+        return spacy_tokens(sections(df), cfg.spacy_model)
+    if cfg.nlp_backend != "rules":
+        raise ValueError(f"unknown token backend {cfg.nlp_backend!r}; available: ['rules', 'spacy']")
     out = sections(df).withColumn("toks", tokenize(F.col("text"), cfg.hyphen)).drop("text")
     return out.withColumn("low", F.transform("toks", F.lower)).withColumn("cls", class_string(F.col("low")))
 

@@ -9,6 +9,8 @@ from ..config import RankConfig
 from ..functions.embedding import Embedder, get_embedder
 from ..functions.text import format_documents, is_blank
 from ..functions.vectors import dot
+from ..plans.storage import materialize
+from ..sources.chunks import ChunkStore, assign_chunks
 
 RANKED_COLUMNS = ("row_id", "candidate", "surface_form", "extraction_source", "tf", "df", "idf", "tfidf_score", "semantic_score", "rank_tfidf", "rank_semantic")
 
@@ -70,6 +72,29 @@ def semantic_scores(canon: DataFrame, documents: DataFrame, embedder: Embedder |
     return out.withColumn("semantic_score", F.coalesce(dot(F.col("_cv"), F.col("_dv")), F.lit(0.0)).cast("float")).drop("_cv", "_dv")
 
 
+def semantic_scores_chunked(canon: DataFrame, documents: DataFrame, store: ChunkStore, chunk_size: int, embedder: Embedder | None = None) -> DataFrame:
+    """:func:`semantic_scores` in resumable chunks of ``chunk_size`` documents: finished chunks of ``store`` are kept.
+
+    Candidates are embedded once for all chunks. Scores are stored by (document, candidate id) and joined back.
+    """
+    spark = canon.sparkSession
+    embedder = embedder or get_embedder()
+    ids = assign_chunks(canon.select("row_id").distinct(), "row_id", chunk_size)
+    todo = store.pending(sorted(r["chunk_id"] for r in ids.select("chunk_id").distinct().collect()))  # a row for each chunk
+    if todo:
+        cands = materialize(canon.select("candidate").distinct().withColumn("_cv", embedder.embed(F.col("candidate"))), "candidates")
+    for chunk in todo:
+        mine = ids.filter(F.col("chunk_id") == chunk).select("row_id")
+        texts = documents.join(mine, "row_id", "left_semi").groupBy("row_id").agg(F.max("doc_text").alias("doc_text"))
+        docs = texts.withColumn("_dv", embedder.embed(F.col("doc_text"))).drop("doc_text")
+        part = canon.select("row_id", "candidate_id", "candidate").join(mine, "row_id", "left_semi").join(docs, "row_id", "left").join(cands, "candidate")
+        score = F.coalesce(dot(F.col("_cv"), F.col("_dv")), F.lit(0.0)).cast("float")
+        store.save(chunk, part.select("row_id", "candidate_id", score.alias("semantic_score")))
+    kind = canon.schema["row_id"].dataType.simpleString()
+    done = store.load_all(spark, f"row_id {kind}, candidate_id BIGINT, semantic_score FLOAT").select("row_id", "candidate_id", "semantic_score")
+    return canon.join(done, ["row_id", "candidate_id"], "left")
+
+
 def unknown_documents(canon: DataFrame, documents: DataFrame) -> DataFrame:
     """Document ids of pairs for which no document exists."""
     return canon.select("row_id").distinct().join(documents.select("row_id"), "row_id", "left_anti")
@@ -80,10 +105,17 @@ def known_documents(documents: DataFrame, canon: DataFrame) -> DataFrame:
     return documents.join(canon.select("row_id").distinct(), "row_id", "left_semi")
 
 
-def rank_candidates(mapping: DataFrame, listed: DataFrame, documents: DataFrame, cfg: RankConfig = RankConfig()) -> DataFrame:
-    """The whole ranking: canonical pairs, TF-IDF, semantic score, both ranks, columns in their fixed order."""
+def rank_candidates(mapping: DataFrame, listed: DataFrame, documents: DataFrame, cfg: RankConfig = RankConfig(), store: ChunkStore | None = None) -> DataFrame:
+    """The whole ranking: canonical pairs, TF-IDF, semantic score, both ranks, columns in their fixed order.
+
+    With ``store`` the semantic scores are computed in resumable chunks of ``cfg.doc_chunk_size`` documents.
+    """
     texts = format_documents(documents, cfg.format_mode, **({"cls_token": cfg.cls_token, "sep_token": cfg.sep_token} if cfg.format_mode == "cls_sep" else {}))
-    scored = semantic_scores(compute_tfidf(canonical(mapping, listed), cfg.smoothed_idf), texts, get_embedder(cfg.embedder, model_name=cfg.model_name))
+    weighted, embedder = compute_tfidf(canonical(mapping, listed), cfg.smoothed_idf), get_embedder(cfg.embedder, model_name=cfg.model_name)
+    if store is not None and cfg.doc_chunk_size:
+        scored = semantic_scores_chunked(weighted, texts, store, cfg.doc_chunk_size, embedder)
+    else:
+        scored = semantic_scores(weighted, texts, embedder)
     ranked = rank_within(rank_within(scored, "tfidf_score", "rank_tfidf"), "semantic_score", "rank_semantic")
     return ranked.select(*RANKED_COLUMNS, *[c for c in ranked.columns if c not in RANKED_COLUMNS])
 

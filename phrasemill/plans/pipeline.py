@@ -78,7 +78,9 @@ class Pipeline:
         return load_candidates_mapping(self.spark, self.rank_cfg.candidates_mapping_path, self.rank_cfg.candidates_mapping_columns)
 
     def run_rank(self) -> bool:
-        return self._stage(self.rank_cfg.output_path, lambda: rank_candidates(self._mapping(), self._list(), self.documents(), self.rank_cfg))
+        c = self.rank_cfg
+        store = ChunkStore(c.semantic_checkpoint_dir, c) if c.doc_chunk_size else None
+        return self._stage(c.output_path, lambda: rank_candidates(self._mapping(), self._list(), self.documents(), c, store))
 
     def run_cluster(self) -> bool:
         c = self.rank_cfg

@@ -202,6 +202,7 @@ def test_pipeline_runs_once_and_resumes(spark, tmp_path):
     spark.createDataFrame([(i, f"porous electrode {w}", f"the {w} electrode holds a solid cell") for i, w in enumerate(["zinc", "tin", "iron"])], "APPLN_ID BIGINT, APPLN_TITLE STRING, APPLN_ABSTR STRING").write.parquet(str(tmp_path / "in.parquet"))
     raw = {
         "data_path": str(tmp_path / "in.parquet"), "candidates_list_path": str(tmp_path / "l"), "candidates_mapping_path": str(tmp_path / "m"), "output_path": str(tmp_path / "r"),
+        "semantic": {"backend": "hashed", "doc_chunk_size": 2, "checkpoint_dir": str(tmp_path / "cs")},
         "extraction": {"extract_chunk_size": 2, "checkpoint_dir": str(tmp_path / "cx")}, "clustering": {"semantic_threshold": 0.92, "output_path": str(tmp_path / "c"), "doc_counts_path": str(tmp_path / "d")},
     }
     (tmp_path / "cfg.json").write_text(json.dumps(raw))
@@ -225,3 +226,23 @@ def test_streamed_extraction(spark, tmp_path):
     docs(spark, (1, "porous electrode", None)).write.parquet(str(tmp_path / "in"))
     stream_occurrences(spark, str(tmp_path / "in"), DOCS, str(tmp_path / "out"), str(tmp_path / "ck"), CFG).awaitTermination(60)
     assert [r.candidate for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["porous electrode"]
+
+
+def test_chunked_semantic_scores_equal_and_resume(spark, tmp_path):
+    mapping, listed = demo(spark)
+    texts = spark.createDataFrame([(1, "lithium battery cell"), (2, "energy density of cells")], "row_id BIGINT, doc_text STRING")
+    canon = ranking.canonical(mapping, listed)
+    want = found(ranking.semantic_scores(canon, texts), "row_id", "candidate_id", "semantic_score")
+    store = ChunkStore(tmp_path / "s", "x")
+    assert found(ranking.semantic_scores_chunked(canon, texts, store, 2), "row_id", "candidate_id", "semantic_score") == want
+    again = ChunkStore(tmp_path / "s", "x")
+    assert again.n_completed() == 2
+    assert found(ranking.semantic_scores_chunked(canon, texts, again, 2), "row_id", "candidate_id", "semantic_score") == want
+
+
+def test_token_backends(spark):
+    d = docs(spark, (1, "x", None))
+    with pytest.raises(ValueError, match="rules"):
+        extract.tokens(d, ExtractConfig(nlp_backend="other"))
+    with pytest.raises(ImportError, match="spacy"):
+        extract.tokens(d, ExtractConfig(nlp_backend="spacy"))
