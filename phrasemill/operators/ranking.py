@@ -42,7 +42,7 @@ def compute_tfidf(canon: DataFrame, smoothed: bool = True, check_empty: bool = F
         raise ValueError("no (document, candidate) pair: N would be 0")
     per = canon.groupBy("candidate", "row_id").agg(F.count(F.lit(1)).alias("_k")).groupBy("candidate").agg(F.count(F.lit(1)).alias("df"))
     n = canon.agg(F.count_distinct("row_id").alias("_n"))
-    out = canon.join(per, "candidate").crossJoin(F.broadcast(n))  # one row
+    out = canon.join(per, "candidate").withColumn("_n", n.scalar())
     ratio = (F.col("_n") + 1) / (F.col("df") + 1) if smoothed else F.col("_n") / F.col("df")
     idf = F.log(ratio) + 1
     return out.withColumn("idf", idf).withColumn("tfidf_score", F.col("tf") * F.col("idf")).drop("_n")
