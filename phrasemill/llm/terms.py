@@ -77,7 +77,7 @@ def score_terms(mapping: DataFrame, listed: DataFrame) -> DataFrame:
     per_string = known.groupBy("term", "row_id").agg(F.sum("tf").alias("k"))
     cells = per_string.groupBy("term", "k").agg(F.count(F.lit(1)).alias("n"))
     total = known.select("row_id").distinct().agg(F.count(F.lit(1)).alias("n_docs"))
-    hist = cells.groupBy("term").agg(F.collect_list(F.struct("k", "n")).alias("h")).crossJoin(F.broadcast(total))  # one row
+    hist = cells.groupBy("term").agg(F.collect_list(F.struct("k", "n")).alias("h")).select("term", "h", total.scalar().alias("n_docs"))
     model = hist.mapInArrow(_fit, "term BIGINT, n_docs BIGINT, df BIGINT, share DOUBLE, high DOUBLE, low DOUBLE")
     out = pairs.join(ids.join(model, "term"), "candidate_id")
     idf = F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1
@@ -165,7 +165,7 @@ def candidate_frequencies(mapping: DataFrame, listed: DataFrame, rare_below: int
     counts = term_frequencies(rows, "term", "row_id")
     total = rows.select("row_id").distinct().agg(F.count(F.lit(1)).alias("n_docs"))
     strings = ids.select("term", "candidate").distinct()
-    out = strings.join(counts, "term", "left").crossJoin(F.broadcast(total))  # one row
+    out = strings.join(counts, "term", "left").withColumn("n_docs", total.scalar())
     df = F.coalesce("df", F.lit(0))
     mark = F.when(df < rare_below, "rare").when(df * 100 > F.col("n_docs") * common_percent, "common")
     return out.select("candidate", F.coalesce("tf", F.lit(0)).alias("tf"), df.alias("df"), "n_docs", mark.alias("mark"))
