@@ -77,7 +77,7 @@ class RankConfig:
     smoothed_idf: bool = True
     output_path: str = "outputs/ranked_candidates"
     semantic_threshold: float = 0.85
-    max_block_size: int = 2000
+    max_block_size: int | None = 2000
     clusters_path: str = "outputs/candidate_clusters"
     doc_counts_path: str = "outputs/cluster_doc_counts"
 

@@ -12,6 +12,7 @@ from ..functions.text import block_key
 from ..functions.tokens import lemma_key
 from ..functions.vectors import dot, unit
 from .components import star_components
+from .tiles import TILE, forest, tile_pairs
 
 
 def ordered_candidates(listed: DataFrame) -> DataFrame:
@@ -55,6 +56,46 @@ def similarity_edges(vectors: DataFrame, threshold: float = 0.85, max_block_size
     return kept.groupBy("block").applyInPandas(pairs, "u BIGINT, v BIGINT, similarity DOUBLE")
 
 
+def exact_similarity_edges(vectors: DataFrame, threshold: float = 0.85, tile: int = TILE, spanning: bool = False) -> DataFrame:
+    """:func:`similarity_edges` without a cap: blocks beyond ``tile`` members are multiplied tile by tile, across tasks.
+
+    A task holds two tiles whatever the size of the block. With ``spanning``, a pair of tiles gives only the edges of
+    trees that span its components: fewer edges, and the same components.
+    """
+
+    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("ord")
+        ids, m, left = pdf["ord"].to_numpy(), np.array(pdf["vec"].tolist(), dtype=float), (pdf["_k"] == pdf["_a"]).to_numpy()
+        if pdf["_a"].iloc[0] == pdf["_b"].iloc[0]:
+            rows = cols = np.arange(len(ids))
+        else:
+            rows, cols = np.flatnonzero(left), np.flatnonzero(~left)
+        sim = np.round(m[rows] @ m[cols].T, 9)
+        near = sim >= threshold
+        if spanning:
+            square = np.zeros((len(ids), len(ids)), dtype=bool)
+            square[np.ix_(rows, cols)] = near
+            a, b = forest(square | square.T)
+            at = np.full(len(ids), -1)  # position in rows or cols
+            at[rows] = np.arange(len(rows))
+            at[cols] = np.arange(len(cols))
+            swap = ~np.isin(a, rows)
+            r, c = np.where(swap, at[b], at[a]), np.where(swap, at[a], at[b])
+        else:
+            r, c = np.nonzero(np.triu(near, 1) if rows is cols else near)
+        u, v = ids[rows[r]], ids[cols[c]]
+        return pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v), "similarity": sim[r, c]})
+
+    dealt = tile_pairs(vectors.select("block", "ord", "vec"), "block", "ord", tile)
+    return dealt.groupBy("block", "_a", "_b").applyInPandas(pairs, "u BIGINT, v BIGINT, similarity DOUBLE")
+
+
+def skipped_blocks(vectors: DataFrame, max_block_size: int = 2000) -> DataFrame:
+    """``n_blocks, n_rows``: blocks of ``block`` rows that :func:`similarity_edges` leaves out as too large, and their rows."""
+    over = vectors.filter("block is not null").groupBy("block").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_block_size)
+    return over.agg(F.count(F.lit(1)).alias("n_blocks"), F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"))
+
+
 def embed_candidates(cands: DataFrame, embedder: Embedder | None = None) -> DataFrame:
     """Adds ``vec`` to distinct candidates."""
     return cands.withColumn("vec", (embedder or get_embedder()).embed(F.col("candidate")))
@@ -80,17 +121,19 @@ def cluster_labels(members: DataFrame, cluster: str = "first_ord") -> DataFrame:
     return best.withColumnRenamed(cluster, "cluster")
 
 
-def cluster_candidates(listed: DataFrame, threshold: float = 0.85, max_block_size: int = 2000, embedder: Embedder | None = None) -> DataFrame:
+def cluster_candidates(listed: DataFrame, threshold: float = 0.85, max_block_size: int | None = 2000, embedder: Embedder | None = None) -> DataFrame:
     """``candidate_id, candidate, cluster_id, cluster_label, cluster_size`` for every listed candidate.
 
     Lemma edges and similarity edges are merged in one components run. Cluster ids count from 0 in list order. Null
-    candidates are left out; a string under several ids is one candidate, and each of its ids is listed.
+    candidates are left out; a string under several ids is one candidate, and each of its ids is listed. Without a
+    ``max_block_size`` no block is skipped.
     """
     from .balanced import dense_ids
 
     cands = ordered_candidates(listed)
     vecs = embed_candidates(cands, embedder)
-    edges = similarity_edges(vecs.withColumn("block", block_key(F.col("candidate"))), threshold, max_block_size)
+    blocks = vecs.withColumn("block", block_key(F.col("candidate")))
+    edges = exact_similarity_edges(blocks, threshold, spanning=True) if max_block_size is None else similarity_edges(blocks, threshold, max_block_size)
     groups = merge_groups(cands, lemma_edges(cands).unionByName(edges.select("u", "v")))
     labels = cluster_labels(groups.join(vecs.select("ord", "vec"), "ord"))
     ids = dense_ids(labels, ["cluster"], "cluster_id")

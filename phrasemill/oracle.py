@@ -176,3 +176,12 @@ ORACLE: dict[str, str] = {
     "p1_candidate_counts": "SELECT candidate_id, count(*) AS n_rows, count(DISTINCT row_id) AS n_distinct FROM candidates_mapping GROUP BY 1",
     "p1_doc_ordinals": "SELECT *, row_number() OVER (PARTITION BY candidate_id ORDER BY row_id NULLS FIRST) AS ordinal FROM (SELECT candidate_id, row_id, count(*) AS n_rows FROM candidates_mapping GROUP BY ALL)",
 }
+
+#: Blocks of any size: the same SQL with a cap that no block reaches.
+_NO_CAP = 1 << 62
+for _name in ("q_candidate_edges", "q_similarity_edges", "q_components", "q_cluster_full"):
+    ORACLE[_name.replace("_full", "") + "_exact"] = ORACLE[_name].replace(f"BETWEEN 2 AND {BLOCK_CAP})", f"BETWEEN 2 AND {_NO_CAP})")
+ORACLE["q_skipped_blocks"] = f"""WITH {CANDS}, sizes AS (SELECT 'candidates' AS blocks_of, {BLOCK} AS block, count(*) AS n FROM cands GROUP BY ALL
+    UNION ALL SELECT 'embeddings', CAST(label AS VARCHAR), count(*) FROM embeddings WHERE label IS NOT NULL GROUP BY ALL)
+  SELECT w.blocks_of, count(n) AS n_blocks, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows FROM (VALUES ('candidates'), ('embeddings')) w(blocks_of)
+  LEFT JOIN sizes ON sizes.blocks_of = w.blocks_of AND n > {BLOCK_CAP} GROUP BY 1"""

@@ -221,6 +221,20 @@ def q_candidate_edges(spark, d):
     return plain(cluster.similarity_edges(vecs, CLUSTER_THRESHOLD, BLOCK_CAP))
 
 
+@query
+def q_candidate_edges_exact(spark, d):
+    vecs = cluster.embed_candidates(_candidates(spark, d)).withColumn("block", block_key(F.col("candidate")))
+    return plain(cluster.exact_similarity_edges(vecs, CLUSTER_THRESHOLD))
+
+
+@query
+def q_skipped_blocks(spark, d):
+    """What the cap of the other queries leaves out."""
+    cands = _candidates(spark, d).withColumn("block", block_key(F.col("candidate")))
+    each = [cluster.skipped_blocks(x, BLOCK_CAP).select(F.lit(n).alias("blocks_of"), "*") for n, x in (("candidates", cands), ("embeddings", _embeddings(spark, d)))]
+    return plain(each[0].union(each[1]))
+
+
 def _embeddings(spark, d):
     e = read_table(spark, d, "embeddings", "vec_id", "embedding", "label")
     return e.select(F.col("vec_id").alias("ord"), F.col("label").cast("string").alias("block"), F.col("embedding").alias("vec"))
@@ -241,6 +255,22 @@ def q_components(spark, d):
     return components.star_components(cluster.similarity_edges(_embeddings(spark, d), EMBEDDING_THRESHOLD, BLOCK_CAP))
 
 
+@query
+def q_similarity_edges_exact(spark, d):
+    return plain(cluster.exact_similarity_edges(_embeddings(spark, d), EMBEDDING_THRESHOLD))
+
+
+@query
+def q_components_exact(spark, d):
+    return components.star_components(cluster.exact_similarity_edges(_embeddings(spark, d), EMBEDDING_THRESHOLD, spanning=True))
+
+
+@query
+def q_cluster_exact(spark, d):
+    listed = read_table(spark, d, "candidates_list", "candidate_id", "candidate")
+    return plain(cluster.cluster_candidates(listed, CLUSTER_THRESHOLD, None))
+
+
 @query
 def q_cluster_full(spark, d):
     listed = read_table(spark, d, "candidates_list", "candidate_id", "candidate")
