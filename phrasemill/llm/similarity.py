@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import is_usable
+from ..operators.tiles import forest, sides, tile_pairs
 from ..plans.storage import discard, materialize
 from .groups import group_matches
 
@@ -25,7 +26,7 @@ ROTATIONS, BANDS, ROWS, SEED = 64, 96, 2, 20240229
 LEAST_JACCARD = 0.1
 #: Most differing sign bits of 128 for a candidate pair; 5.5 standard deviations above the mean at cosine 0.92.
 MOST_BITS = 37
-#: Buckets up to this size give their pairs directly; larger ones go through one representative for each component.
+#: Buckets up to this size give their pairs directly; in larger ones, pairs that a star has linked already are left out.
 SMALL_BUCKET = 64
 
 
@@ -89,15 +90,15 @@ def _banded(dim: int):
     return run
 
 
-def _near_pairs(ids: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a bucket whose sign bits are near enough, in blocks of rows."""
+def _near_pairs(ids: np.ndarray, bits: np.ndarray, roots: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a row and a column of different roots whose sign bits are near enough, in blocks of rows."""
     us, vs = [], []
-    for at in range(0, len(ids), 512):
-        near = _bits(bits[at : at + 512, None], bits[None, :]) <= MOST_BITS
+    for at in range(0, len(rows), 512):
+        part = rows[at : at + 512]
+        near = (_bits(bits[part, None], bits[None, cols]) <= MOST_BITS) & (roots[part, None] != roots[None, cols])
         r, c = np.nonzero(near)
-        keep = c > r + at
-        us.append(ids[r[keep] + at])
-        vs.append(ids[c[keep]])
+        us.append(ids[part[r]])
+        vs.append(ids[cols[c]])
     return np.concatenate(us), np.concatenate(vs)
 
 
@@ -188,9 +189,8 @@ def similar_edges(vectors: DataFrame, dim: int, threshold: float) -> DataFrame:
 
     A pair at cosine 0.92 shares one of the bands with a measured probability of 0.999, a nearer one more surely. All pairs of
     a bucket of up to ``SMALL_BUCKET`` members are checked. In a larger bucket every member is checked against the
-    bucket's first; members that are still in different components are then checked through one member for each
-    component, which loses nothing where similar vectors form clusters of mutually similar ones, and keeps a bucket
-    filled by one cluster linear.
+    bucket's first; then all pairs of members that are still in different components are checked, tile by tile across
+    tasks. Pairs within a component are left out, so the links connect, but they are not all links.
     """
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -212,15 +212,15 @@ def similar_edges(vectors: DataFrame, dim: int, threshold: float) -> DataFrame:
     links = materialize(check(pairs.filter("v >= 0")), "links")
     crowded = pairs.filter("v < 0").select(F.col("u").alias("id"), "key", "b0", "b1").distinct()
     comp = group_matches(links).withColumnRenamed("node", "id")
-    per = crowded.join(comp, "id", "left").groupBy("key", F.coalesce("root", "id").alias("root")).agg(F.min(F.struct("id", "b0", "b1")).alias("m"))
-    several = per.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    rest = per.join(several, "key").select("key", "m.id", "m.b0", "m.b1")
+    placed = crowded.join(comp, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    several = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
+    rest = tile_pairs(placed.join(several, "key", "left_semi"), "key", "id")
 
     def between(pdf: pd.DataFrame) -> pd.DataFrame:
-        u, v = _near_pairs(pdf["id"].to_numpy(), _pair(pdf))
-        return pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)})
+        u, v = _near_pairs(pdf["id"].to_numpy(), _pair(pdf), pdf["root"].to_numpy(), *sides(pdf))
+        return pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)}).drop_duplicates()
 
-    more = materialize(check(rest.groupBy("key").applyInPandas(between, "u BIGINT, v BIGINT")), "links")
+    more = materialize(check(rest.groupBy("key", "_a", "_b").applyInPandas(between, "u BIGINT, v BIGINT")), "links")
     discard(pairs)
     return links.union(more)
 
@@ -235,6 +235,20 @@ def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("id"), b.column("weight"), b.column("root"), rows], ["id", "weight", "root", "x"])
 
 
+def _links(rows: DataFrame, threshold: float) -> DataFrame:
+    """``u, v`` links that connect what is within ``threshold`` among ``id, root, x`` (unit) of equal ``root``: all pairs, tile by tile."""
+
+    def linked(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, x = pdf["id"].to_numpy(), np.array(pdf["x"].tolist(), dtype=float)
+        r, c = sides(pdf)
+        near = np.zeros((len(ids), len(ids)), dtype=bool)
+        near[np.ix_(r, c)] = x[r] @ x[c].T >= threshold - 1e-9
+        u, v = forest(near | near.T)
+        return pd.DataFrame({"u": ids[u], "v": ids[v]})
+
+    return tile_pairs(rows.select("id", "root", "x"), "root", "id").groupBy("root", "_a", "_b").applyInPandas(linked, "u BIGINT, v BIGINT")
+
+
 def _dot(a, b):
     return F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
 
@@ -257,7 +271,7 @@ def similarity_clusters(vectors: DataFrame, threshold: float = 0.92, dim: int =
     ``cluster_id`` is the smallest id of the cluster. Vectors that are null, of another length, zero, or hold a null,
     NaN or infinity are similar to nothing. Exact copies collapse to one weighted vector before any pair is made. A
     component in which some member is below ``threshold`` to its medoid is loose: the members near the medoid become a
-    cluster, and the others are grouped anew by their links, until none is loose. Empty tables give no rows.
+    cluster, and the others are grouped anew by all their links, until none is loose. Empty tables give no rows.
     """
     usable = vectors.filter(F.col("id").isNotNull() & is_usable(F.col("vec"), dim)).select("id", F.col("vec").cast("array<float>").alias("vec"))
     keyed = usable.withColumn("k1", F.xxhash64("vec")).withColumn("k2", F.hash("vec"))
@@ -273,17 +287,15 @@ def similarity_clusters(vectors: DataFrame, threshold: float = 0.92, dim: int =
     done: DataFrame | None = None
     while True:
         placed = rows.join(_medoids(rows, dim), "root").withColumn("near", (F.col("id") == F.col("typical")) | (_dot(F.col("x"), F.col("tx")) >= threshold - 1e-9))
-        placed = materialize(placed.select("id", "weight", "x", "typical", "near"), "placed")
+        placed = materialize(placed.select("id", "weight", "root", "x", "typical", "near"), "placed")
         kept = placed.filter("near").select("id", "weight", "typical")
         done = kept if done is None else done.union(kept)
-        rest = placed.filter("not near").select("id", "weight", "x")
+        rest = placed.filter("not near").select("id", "weight", "root", "x")
         if rest.isEmpty():
             break
         # A link between members of different medoids' leftovers can't exist: they were in different components.
-        ids = rest.select("id")
-        inner = edges.join(ids.withColumnRenamed("id", "u"), "u", "left_semi").join(ids.withColumnRenamed("id", "v"), "v", "left_semi")
-        again = group_matches(inner.select("u", "v")).withColumnRenamed("node", "id")
-        rows = materialize(rest.join(again, "id", "left").select("id", "weight", F.coalesce("root", "id").alias("root"), "x"), "members")
+        again = group_matches(materialize(_links(rest, threshold), "links")).withColumnRenamed("node", "id")
+        rows = materialize(rest.drop("root").join(again, "id", "left").select("id", "weight", F.coalesce("root", "id").alias("root"), "x"), "members")
     size = done.groupBy("typical").agg(F.sum("weight").alias("cluster_size"), F.min("id").alias("cluster_id")).filter("cluster_size > 1")
     out = done.select(F.col("id").alias("rep"), "typical").join(size, "typical")
     return member.join(out, "rep").select("id", "cluster_id", "cluster_size", F.col("typical").alias("typical_id"))

@@ -12,7 +12,7 @@ from ..functions.text import block_key
 from ..functions.tokens import lemma_key
 from ..functions.vectors import dot, unit
 from .components import star_components
-from .tiles import TILE, forest, tile_pairs
+from .tiles import TILE, forest, sides, tile_pairs
 
 
 def ordered_candidates(listed: DataFrame) -> DataFrame:
@@ -65,11 +65,8 @@ def exact_similarity_edges(vectors: DataFrame, threshold: float = 0.85, tile: in
 
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ord")
-        ids, m, left = pdf["ord"].to_numpy(), np.array(pdf["vec"].tolist(), dtype=float), (pdf["_k"] == pdf["_a"]).to_numpy()
-        if pdf["_a"].iloc[0] == pdf["_b"].iloc[0]:
-            rows = cols = np.arange(len(ids))
-        else:
-            rows, cols = np.flatnonzero(left), np.flatnonzero(~left)
+        ids, m = pdf["ord"].to_numpy(), np.array(pdf["vec"].tolist(), dtype=float)
+        rows, cols = sides(pdf)
         sim = np.round(m[rows] @ m[cols].T, 9)
         near = sim >= threshold
         if spanning:
@@ -82,7 +79,7 @@ def exact_similarity_edges(vectors: DataFrame, threshold: float = 0.85, tile: in
             swap = ~np.isin(a, rows)
             r, c = np.where(swap, at[b], at[a]), np.where(swap, at[a], at[b])
         else:
-            r, c = np.nonzero(np.triu(near, 1) if rows is cols else near)
+            r, c = np.nonzero(np.triu(near, 1) if pdf["_a"].iloc[0] == pdf["_b"].iloc[0] else near)
         u, v = ids[rows[r]], ids[cols[c]]
         return pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v), "similarity": sim[r, c]})
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,14 @@ def tile_pairs(df: DataFrame, group: str, item: str, tile: int = TILE) -> DataFr
     return other.withColumn("_a", F.least("_k", "_j")).withColumn("_b", F.greatest("_k", "_j")).drop("_j", "_t")
 
 
+def sides(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Row positions of the two tiles of a task group; twice the same ones where a tile meets itself."""
+    if pdf["_a"].iloc[0] == pdf["_b"].iloc[0]:
+        return np.arange(len(pdf)), np.arange(len(pdf))
+    left = (pdf["_k"] == pdf["_a"]).to_numpy()
+    return np.flatnonzero(left), np.flatnonzero(~left)
+
+
 def forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges of trees that span the components of a symmetric boolean matrix."""
     u, v, unseen = [], [], np.ones(len(near), dtype=bool)
