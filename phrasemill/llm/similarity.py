@@ -235,34 +235,41 @@ def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("id"), b.column("weight"), b.column("root"), rows], ["id", "weight", "root", "x"])
 
 
-def _links(rows: DataFrame, threshold: float) -> DataFrame:
-    """``u, v`` links that connect what is within ``threshold`` among ``id, root, x`` (unit) of equal ``root``: all pairs, tile by tile."""
+def _neighbours(rows: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of ``id, weight, root, x`` (unit) of equal ``root``, tile by tile.
 
-    def linked(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, x = pdf["id"].to_numpy(), np.array(pdf["x"].tolist(), dtype=float)
+    Rows ``u, v`` are links that connect what is within ``threshold``; rows ``u, n`` are parts of the number of vectors
+    within ``threshold`` of ``u``, copies counted and itself included.
+    """
+
+    def counted(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, w, x = pdf["id"].to_numpy(), pdf["weight"].to_numpy(), np.array(pdf["x"].tolist(), dtype=float)
         r, c = sides(pdf)
         near = np.zeros((len(ids), len(ids)), dtype=bool)
         near[np.ix_(r, c)] = x[r] @ x[c].T >= threshold - 1e-9
-        u, v = forest(near | near.T)
-        return pd.DataFrame({"u": ids[u], "v": ids[v]})
+        near |= near.T
+        np.fill_diagonal(near, pdf["_a"].iloc[0] == pdf["_b"].iloc[0])
+        u, v = forest(near)
+        return pd.DataFrame({"u": np.concatenate([ids[u], ids]), "v": np.concatenate([ids[v], np.full(len(ids), -1)]), "n": np.concatenate([np.zeros(len(u), dtype=np.int64), near @ w])})
 
-    return tile_pairs(rows.select("id", "root", "x"), "root", "id").groupBy("root", "_a", "_b").applyInPandas(linked, "u BIGINT, v BIGINT")
+    dealt = tile_pairs(rows.select("id", "weight", "root", "x"), "root", "id")
+    return dealt.groupBy("root", "_a", "_b").applyInPandas(counted, "u BIGINT, v BIGINT, n BIGINT")
 
 
 def _dot(a, b):
     return F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
 
 
-def _medoids(rows: DataFrame, dim: int) -> DataFrame:
-    """``root, typical, tx, n``: per component the member with the largest sum of cosines to the others, and its size.
+def _medoids(rows: DataFrame, dim: int, first: tuple[str, ...] = ()) -> DataFrame:
+    """``root, typical, tx``: per component the member with the largest ``first``, then sum of cosines to the others.
 
     The sum to the others is the member's product with the component's vector sum, less 1 for itself, so a component of
     any size needs one partial aggregate. Sums are compared at 4 decimals; ties go to the smallest id.
     """
-    sums = rows.groupBy("root").agg(F.array(*[F.sum(F.col("x")[i] * F.col("weight")) for i in range(dim)]).alias("total"), F.sum("weight").alias("n"))
+    sums = rows.groupBy("root").agg(F.array(*[F.sum(F.col("x")[i] * F.col("weight")) for i in range(dim)]).alias("total"))
     scored = rows.join(sums, "root").withColumn("s", F.round(_dot(F.col("x"), F.col("total")) - 1, 4))
-    best = scored.groupBy("root").agg(F.max_by(F.struct(F.col("id").alias("typical"), F.col("x").alias("tx")), F.struct("s", -F.col("id"))).alias("b"), F.max("n").alias("n"))
-    return best.select("root", "b.typical", "b.tx", "n")
+    best = scored.groupBy("root").agg(F.max_by(F.struct(F.col("id").alias("typical"), F.col("x").alias("tx")), F.struct(*first, "s", -F.col("id"))).alias("b"))
+    return best.select("root", "b.typical", "b.tx")
 
 
 def similarity_clusters(vectors: DataFrame, threshold: float = 0.92, dim: int = 64) -> DataFrame:
@@ -270,8 +277,10 @@ def similarity_clusters(vectors: DataFrame, threshold: float = 0.92, dim: int =
 
     ``cluster_id`` is the smallest id of the cluster. Vectors that are null, of another length, zero, or hold a null,
     NaN or infinity are similar to nothing. Exact copies collapse to one weighted vector before any pair is made. A
-    component in which some member is below ``threshold`` to its medoid is loose: the members near the medoid become a
-    cluster, and the others are grouped anew by all their links, until none is loose. Empty tables give no rows.
+    component without a member within ``threshold`` of all others is loose: the member with the most neighbours within
+    ``threshold`` (then the largest sum of cosines, then the smallest id) is the centre, it and its neighbours become a
+    cluster, and the others are grouped anew by all their links, until none is loose. ``typical_id`` has the largest sum of
+    cosines in its cluster. Empty tables give no rows.
     """
     usable = vectors.filter(F.col("id").isNotNull() & is_usable(F.col("vec"), dim)).select("id", F.col("vec").cast("array<float>").alias("vec"))
     keyed = usable.withColumn("k1", F.xxhash64("vec")).withColumn("k2", F.hash("vec"))
@@ -284,18 +293,26 @@ def similarity_clusters(vectors: DataFrame, threshold: float = 0.92, dim: int =
     many = rows.filter("root <> id or weight > 1").select("root").distinct()  # singletons are no clusters
     rows = rows.join(many, "root", "left_semi").select("id", "weight", "root", "vec").mapInArrow(_unit_rows, "id BIGINT, weight BIGINT, root BIGINT, x ARRAY<DOUBLE>")
     rows = materialize(rows, "members")
-    done: DataFrame | None = None
-    while True:
-        placed = rows.join(_medoids(rows, dim), "root").withColumn("near", (F.col("id") == F.col("typical")) | (_dot(F.col("x"), F.col("tx")) >= threshold - 1e-9))
-        placed = materialize(placed.select("id", "weight", "root", "x", "typical", "near"), "placed")
-        kept = placed.filter("near").select("id", "weight", "typical")
-        done = kept if done is None else done.union(kept)
-        rest = placed.filter("not near").select("id", "weight", "root", "x")
-        if rest.isEmpty():
-            break
-        # A link between members of different medoids' leftovers can't exist: they were in different components.
-        again = group_matches(materialize(_links(rest, threshold), "links")).withColumnRenamed("node", "id")
-        rows = materialize(rest.drop("root").join(again, "id", "left").select("id", "weight", F.coalesce("root", "id").alias("root"), "x"), "members")
+
+    def split(members: DataFrame, centres: DataFrame) -> DataFrame:
+        near = (F.col("id") == F.col("typical")) | (_dot(F.col("x"), F.col("tx")) >= threshold - 1e-9)
+        return materialize(members.join(centres, "root").withColumn("near", near).select("id", "weight", "root", "x", "typical", "near"), "placed")
+
+    placed = split(rows, _medoids(rows, dim))
+    loose = placed.filter("not near").select("root").distinct()
+    done = placed.join(loose, "root", "left_anti").select("id", "weight", "typical")
+    rows = placed.join(loose, "root", "left_semi").select("id", "weight", "root", "x")
+    while not rows.isEmpty():
+        found = materialize(_neighbours(rows, threshold), "neighbours")
+        degree = found.filter("v < 0").groupBy(F.col("u").alias("id")).agg(F.sum("n").alias("degree"))
+        # All neighbours of a member are in its own new component, so its degree there is the one counted.
+        again = group_matches(found.filter("v >= 0").select("u", "v")).withColumnRenamed("node", "id")
+        rows = rows.drop("root").join(again, "id", "left").join(degree, "id", "left")
+        rows = materialize(rows.select("id", "weight", F.coalesce("root", "id").alias("root"), "x", F.coalesce("degree", "weight").alias("degree")), "members")
+        placed = split(rows, _medoids(rows, dim, ("degree",)))
+        kept = placed.filter("near").select("id", "weight", F.col("typical").alias("root"), "x")
+        done = done.union(kept.join(_medoids(kept, dim), "root").select("id", "weight", "typical"))
+        rows = placed.filter("not near").select("id", "weight", "root", "x")
     size = done.groupBy("typical").agg(F.sum("weight").alias("cluster_size"), F.min("id").alias("cluster_id")).filter("cluster_size > 1")
     out = done.select(F.col("id").alias("rep"), "typical").join(size, "typical")
     return member.join(out, "rep").select("id", "cluster_id", "cluster_size", F.col("typical").alias("typical_id"))

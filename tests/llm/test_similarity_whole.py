@@ -47,3 +47,11 @@ def test_leftovers_of_a_split_keep_their_links(spark, one_bucket):
     got = clusters(spark, angles)
     assert {i for i in got if got[i][0] == 6} == {6, 7} and got[6] == got[7] == (6, 2, 6)
     assert {i for i in got if got[i][0] == 0} == {0, 1, 2, 3, 4, 5, 8, 9, 10}
+
+
+def test_split_around_the_member_with_most_neighbours(spark):
+    """Two cores of six and a bridge of two: the bridge has the largest sums of cosines, but fewer neighbours."""
+    core = [30, 30.1, 30.2, 44, 44.1, 44.2]
+    got = clusters(spark, [-a for a in core] + [-8] + core + [8])
+    assert {i for i in got if got[i][0] == 0} == {0, 1, 2, 3, 4, 5, 6}
+    assert {i for i in got if got[i][0] == 7} == {7, 8, 9, 10, 11, 12, 13}
