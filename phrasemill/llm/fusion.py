@@ -15,6 +15,8 @@ from ..plans.storage import discard, materialize
 DAMPING, ROUNDS, BATCH_ROWS = 0.85, 150, 200_000
 #: Items of a group that one task may hold (about 200 bytes each); larger groups walk as distributed tables.
 MOST_ITEMS = 1_000_000
+#: Values are compared, and the walk ends, by probability times group size, whose mean is 1 in a group of any size.
+DECIMALS, LEAST_CHANGE = 9, 1e-11
 
 
 class _Ladder:
@@ -56,7 +58,7 @@ def stationary(group: np.ndarray, scores: list[np.ndarray], damping: float = DAM
     x = start
     for _ in range(rounds):
         nxt = damping * sum(ladder.step(x) for ladder in ladders) / len(ladders) + (1 - damping) * start
-        if np.abs(nxt - x).max(initial=0) < 1e-13:
+        if (np.abs(nxt - x) * size[group]).max(initial=0) < LEAST_CHANGE:
             return nxt
         x = nxt
     return x
@@ -66,7 +68,7 @@ def fuse_scores(df: DataFrame, group: str, item: str, scores: list[str], damping
     """``group, item, stationarity, fused_rank`` (from 1): items of each group in one order by all scores.
 
     Only the order of each score counts, never its range. Null and NaN scores are lowest; of repeated items the higher
-    value of each score counts; ties of the walk (at 12 decimals) go to the lower item. Null groups and items are left
+    value of each score counts; ties of the walk (probability times group size at 9 decimals) go to the lower item. Null groups and items are left
     out. Groups are streamed in batches of whole groups. A group of more than ``most_items`` distinct items is never
     held by a task: its walk runs over tables instead (:func:`_walk_large`), with the same result.
     """
@@ -81,8 +83,8 @@ def fuse_scores(df: DataFrame, group: str, item: str, scores: list[str], damping
     def ranked(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([group, item], ignore_index=True)
         g = pd.factorize(pdf[group])[0]
-        p = np.round(stationary(g, [pdf[s].to_numpy(dtype=float) for s in names], damping), 12)
-        order = np.lexsort((np.arange(len(p)), -p, g))
+        p = stationary(g, [pdf[s].to_numpy(dtype=float) for s in names], damping)
+        order = np.lexsort((np.arange(len(p)), -np.round(p * np.bincount(g)[g], DECIMALS), g))
         rank = np.empty(len(p), dtype=np.int64)
         first = np.concatenate([[0], np.cumsum(np.bincount(g))[:-1]])
         rank[order] = np.arange(len(p)) - first[g[order]] + 1
@@ -132,13 +134,13 @@ def _walk_large(items: DataFrame, group: str, item: str, names: list[str], dampi
             moved = moved.join(came, [group, s])
         share = sum(F.col(f"_in{i}") + F.col(f"_left{i}") / F.col("_size") for i in range(len(names))) / len(names)
         nxt = materialize(moved.withColumn("_new", damping * share + (1 - damping) / F.col("_size")).select(*[c for c in x.columns if c != "_x"], F.col("_x").alias("_old"), F.col("_new").alias("_x")), "walk")
-        change = nxt.agg(F.max(F.abs(F.col("_x") - F.col("_old")))).first()[0]
+        change = nxt.agg(F.max(F.abs(F.col("_x") - F.col("_old")) * F.col("_size"))).first()[0]
         discard(x)
         x = nxt.drop("_old")
         x.phrasemill_path = nxt.phrasemill_path  # type: ignore[attr-defined]
-        if change < 1e-13:
+        if change < LEAST_CHANGE:
             break
-    out = x.select(group, item, F.round("_x", 12).alias("stationarity")).withColumn("_o", -F.col("stationarity")).withColumn("_one", F.lit(1))
+    out = x.select(group, item, F.col("_x").alias("stationarity"), (-F.round(F.col("_x") * F.col("_size"), DECIMALS)).alias("_o")).withColumn("_one", F.lit(1))
     placed = running_sums(out, group, ["_o", item], "_one", "fused_rank")
     return placed.select(group, item, "stationarity", F.col("fused_rank").cast("bigint").alias("fused_rank"))
 
