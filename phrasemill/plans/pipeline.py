@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ExtractConfig, RankConfig
+from ..functions.embedding import get_embedder
 from ..operators.cluster import cluster_candidates
 from ..operators.coverage import cluster_doc_counts
 from ..operators.dictionary import candidates_list, candidates_mapping
@@ -84,7 +85,8 @@ class Pipeline:
 
     def run_cluster(self) -> bool:
         c = self.rank_cfg
-        return self._stage(c.clusters_path, lambda: cluster_candidates(self._list(), c.semantic_threshold, c.max_block_size), write_clusters)
+        clusters = lambda: cluster_candidates(self._list(), c.semantic_threshold, c.max_block_size, get_embedder(c.embedder, model_name=c.model_name))
+        return self._stage(c.clusters_path, clusters, write_clusters)
 
     def run_count(self) -> bool:
         c = self.rank_cfg
