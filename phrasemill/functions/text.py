@@ -37,8 +37,9 @@ def starts_with_pattern(c: Column, pattern: str) -> Column:
 
 
 def chunk_name(chunk: Column, width: int = 4) -> Column:
-    """``chunk_0007`` from 7."""
-    return F.concat(F.lit("chunk_"), F.lpad(chunk.cast("string"), width, "0"))
+    """``chunk_0007`` from 7; longer numbers keep all their digits."""
+    digits = chunk.cast("string")
+    return F.concat(F.lit("chunk_"), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))
 
 
 def register_formatter(name: str) -> Callable[[Formatter], Formatter]:
