@@ -87,10 +87,15 @@ def exact_similarity_edges(vectors: DataFrame, threshold: float = 0.85, tile: in
     return dealt.groupBy("block", "_a", "_b").applyInPandas(pairs, "u BIGINT, v BIGINT, similarity DOUBLE")
 
 
+def oversize_blocks(vectors: DataFrame, max_block_size: int = 2000) -> DataFrame:
+    """``block, block_size`` of the blocks that :func:`similarity_edges` leaves out as too large."""
+    return vectors.filter("block is not null").groupBy("block").agg(F.count(F.lit(1)).alias("block_size")).filter(F.col("block_size") > max_block_size)
+
+
 def skipped_blocks(vectors: DataFrame, max_block_size: int = 2000) -> DataFrame:
     """``n_blocks, n_rows``: blocks of ``block`` rows that :func:`similarity_edges` leaves out as too large, and their rows."""
-    over = vectors.filter("block is not null").groupBy("block").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_block_size)
-    return over.agg(F.count(F.lit(1)).alias("n_blocks"), F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"))
+    over = oversize_blocks(vectors, max_block_size)
+    return over.agg(F.count(F.lit(1)).alias("n_blocks"), F.coalesce(F.sum("block_size"), F.lit(0)).alias("n_rows"))
 
 
 def embed_candidates(cands: DataFrame, embedder: Embedder | None = None) -> DataFrame:

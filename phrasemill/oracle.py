@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .functions.tokens import ADJECTIVE_ENDING, NUMBER_WORDS, STOP_WORDS, TOKEN, VERB_ENDING, VERBS
-from .queries import BLACKLIST, BLOCK_CAP, CHUNK, CLUSTER_THRESHOLD, EMBEDDING_THRESHOLD
+from .queries import BLACKLIST, BLOCK_CAP, CHUNK, CLUSTER_THRESHOLD, EMBEDDING_THRESHOLD, SMALL_CAP
 
 
 def _in(words) -> str:
@@ -185,3 +185,5 @@ ORACLE["q_skipped_blocks"] = f"""WITH {CANDS}, sizes AS (SELECT 'candidates' AS
     UNION ALL SELECT 'embeddings', CAST(label AS VARCHAR), count(*) FROM embeddings WHERE label IS NOT NULL GROUP BY ALL)
   SELECT w.blocks_of, count(n) AS n_blocks, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows FROM (VALUES ('candidates'), ('embeddings')) w(blocks_of)
   LEFT JOIN sizes ON sizes.blocks_of = w.blocks_of AND n > {BLOCK_CAP} GROUP BY 1"""
+ORACLE["q_block_cap_candidates"] = ORACLE["q_candidate_edges"].replace(f"BETWEEN 2 AND {BLOCK_CAP})", f"BETWEEN 2 AND {SMALL_CAP})")
+ORACLE["q_block_cap_skipped"] = f"SELECT CAST(label AS VARCHAR) AS block, count(*) AS block_size FROM embeddings WHERE label IS NOT NULL GROUP BY 1 HAVING count(*) > {SMALL_CAP}"

@@ -23,6 +23,8 @@ BLACKLIST = sorted(
     {x.strip().lower() for x in (Path(__file__).parent / "sources/blacklist.txt").read_text().splitlines() if x.strip() and x[0] != "#"}
 )
 CLUSTER_THRESHOLD, EMBEDDING_THRESHOLD, BLOCK_CAP, CHUNK = 0.85, 0.3, 2000, 500
+#: Cap of the queries that show what a cap leaves out.
+SMALL_CAP = 50
 
 
 def query(fn: Query) -> Query:
@@ -247,7 +249,20 @@ def q_similarity_edges(spark, d):
 
 @query
 def q_block_cap(spark, d):
-    return plain(cluster.similarity_edges(_embeddings(spark, d), EMBEDDING_THRESHOLD, 50))
+    return plain(cluster.similarity_edges(_embeddings(spark, d), EMBEDDING_THRESHOLD, SMALL_CAP))
+
+
+@query
+def q_block_cap_skipped(spark, d):
+    """The blocks that :func:`q_block_cap` leaves out, with their sizes."""
+    return plain(cluster.oversize_blocks(_embeddings(spark, d), SMALL_CAP))
+
+
+@query
+def q_block_cap_candidates(spark, d):
+    """The small cap over first-token blocks, whose sizes lie on both sides of it at every scale."""
+    vecs = cluster.embed_candidates(_candidates(spark, d)).withColumn("block", block_key(F.col("candidate")))
+    return plain(cluster.similarity_edges(vecs, CLUSTER_THRESHOLD, SMALL_CAP))
 
 
 @query
