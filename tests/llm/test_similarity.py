@@ -1,5 +1,6 @@
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pytest
 
 from phrasemill.llm import similarity as S
 
@@ -52,11 +53,28 @@ def test_clusters_copies_and_unusable_vectors(spark):
     assert clusters(spark, rows) == brute(vectors)
 
 
-def test_large_buckets_lose_nothing(spark, monkeypatch):
+def test_components_beyond_a_tile_come_out_the_same(spark):
     rng = np.random.default_rng(7)
     vectors = dict(enumerate(v for size in (60, 40, 3, 2) for v in family(rng, size, 0.97)))
-    monkeypatch.setattr(S, "SMALL_BUCKET", 2)
+    vectors |= {1000 + k: v for k, v in vectors.items() if k % 9 == 0}  # copies
+    for tile in (10, 2000):
+        assert clusters(spark, list(vectors.items()), tile=tile) == brute(vectors)
+
+
+def test_hot_bucket_is_linked_where_it_is_made(spark):
+    """A third of all vectors lies within one bucket of most bands; with extra columns of clashing names."""
+    rng = np.random.default_rng(4)
+    dense = family(rng, 150, 0.999)
+    vectors = dict(enumerate([*dense, *(v for _ in range(300) for v in family(rng, 1))]))
+    assert clusters(spark, list(vectors.items())) == brute(vectors)
+
+
+def test_ids_beyond_32_bits_below_zero_and_with_several_vectors(spark):
+    rng = np.random.default_rng(5)
+    vectors = dict(zip((-5, -(1 << 40), 3, 1 << 50), family(rng, 4)))
     assert clusters(spark, list(vectors.items())) == brute(vectors)
+    got = clusters(spark, [(1, family(rng, 1)[0]), (1, family(rng, 1)[0]), (2, family(rng, 1)[0])])
+    assert got == {}
 
 
 def test_loose_chain_is_split_around_medoids(spark):
@@ -74,37 +92,51 @@ def test_empty(spark):
     assert clusters(spark, []) == {}
 
 
-def test_recall_at_the_threshold():
-    rng = np.random.default_rng(9)
-    a = rng.normal(size=(3000, 64))
-    a /= np.linalg.norm(a, axis=1, keepdims=True)
+def unit(rng, n, dim=64):
+    x = rng.normal(size=(n, dim))
+    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+
+
+def pairs_at(rng, n, cosine):
+    a = unit(rng, n).astype(float)
     e = rng.normal(size=a.shape)
     e -= (e * a).sum(1, keepdims=True) * a
     e /= np.linalg.norm(e, axis=1, keepdims=True)
-    b = 0.92 * a + np.sqrt(1 - 0.92**2) * e
-    ea, eb = S.elements(a.astype(np.float32)), S.elements(b.astype(np.float32))
-    share = (S.band_keys(ea, 64) == S.band_keys(eb, 64)).any(1).mean()
-    same = (ea == eb).sum(1)
-    assert share > 0.998
-    assert (same / (128 - same)).min() >= S.LEAST_JACCARD
-    assert S._bits(S._signs(a.astype(np.float32)), S._signs(b.astype(np.float32))).max() <= S.MOST_BITS
+    return a.astype(np.float32), (cosine * a + np.sqrt(1 - cosine**2) * e).astype(np.float32)
 
 
-def test_bucket_scan_across_batches():
-    """Batches that cut buckets give the same components of candidate pairs as one batch."""
+@pytest.mark.parametrize("n", [1_000, 100_000, 10_000_000])
+def test_recall_at_the_threshold(n):
+    """Bands chosen for any number of vectors find pairs at the threshold, and no such pair falls to the Jaccard check."""
+    rng = np.random.default_rng(9)
+    plan = S.choose_bands(unit(rng, 2000), n, 0.92)
+    a, b = pairs_at(rng, 4000, 0.92)
+    (ea, sa), (eb, sb) = S.elements(a), S.elements(b)
+    assert (S.band_keys(a, plan) == S.band_keys(b, plan)).any(1).mean() > 0.99
+    assert S._jaccard(ea, eb, sa, sb).min() >= S.least_jaccard(64, 0.92)
+
+
+def test_pairs_of_each_vector_do_not_grow_with_the_number_of_vectors():
+    rng = np.random.default_rng(3)
+    per_vector = []
+    for n in (8_000, 32_000, 128_000):
+        x = unit(rng, n)
+        plan = S.choose_bands(x[:2000], n, 0.92)
+        keys = np.concatenate([S.band_keys(x[i : i + 4000], plan) for i in range(0, n, 4000)])
+        counts = [np.unique(keys[:, b], return_counts=True)[1] for b in range(plan.bands)]
+        pairs = sum((c * (c - 1) // 2).sum() for c in counts)
+        per_vector.append(pairs / n)
+    assert max(per_vector) < 1.5 * min(per_vector), per_vector
+
+
+def test_buckets_cut_over_batches_are_whole():
+    """Packed entries of any batching give the same pairs and the same members of large buckets."""
     rng = np.random.default_rng(1)
-    keys = np.sort(rng.integers(0, 12, 200))
-    pdf = pd.DataFrame({"key": keys, "id": np.arange(200), "b0": 0, "b1": 0})
+    plan, x = S.Bands(1, 0, 2, 0, 0.0), unit(rng, 200, 4)
+    seen = []
     for size in (200, 33, 5):
-        out = pd.concat(list(S._bucket_pairs(iter([pdf[i : i + size] for i in range(0, 200, size)]))))
-        up = {i: i for i in range(200)}
-
-        def find(x):
-            while up[x] != x:
-                x = up[x]
-            return x
-
-        for u, v in out[out.v >= 0][["u", "v"]].itertuples(index=False):
-            up[find(max(u, v))] = find(min(u, v))
-        assert all(find(a) == find(b) for a, b in zip(range(199), range(1, 200)) if keys[a] == keys[b])
-        assert len({find(i) for i in range(200)}) == len(set(keys))
+        table = pa.table({"id": np.arange(200), "vec": S._lists(x)})
+        packed = list(S._entries(4, plan, 1, "<i8", np.zeros(0, np.uint64))(iter(table.to_batches(max_chunksize=size))))
+        out = pa.Table.from_batches(list(S._bucket_pairs("<i8")(iter(packed)))).to_pandas()
+        seen.append((set(map(tuple, out[out.v.notna()][["u", "v"]].astype(int).values)), set(map(tuple, out[out.v.isna()][["u", "key"]].astype(int).values))))
+    assert seen[0] == seen[1] == seen[2] and len(seen[0][1]) > 300

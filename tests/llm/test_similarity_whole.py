@@ -15,18 +15,18 @@ def at(degrees):
 
 @pytest.fixture
 def one_bucket(monkeypatch):
-    """Every vector falls into one bucket, which counts as large."""
+    """Every vector falls into one bucket."""
 
-    def banded(dim):
+    def entries(dim, plan, parts, kind, hot):
         def run(batches):
             for b in batches:
-                ids = b.column("id")
-                none = pa.array(np.zeros(len(ids), dtype=np.int64))
-                yield pa.RecordBatch.from_arrays([none, ids, none, none], ["key", "id", "b0", "b1"])
+                ids = b.column("id").to_numpy().astype(kind)
+                if len(ids):
+                    yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([bytes(4 * len(ids))]), pa.array([ids.tobytes()])], ["pid", "keys", "ids"])
 
         return run
 
-    monkeypatch.setattr(S, "_banded", banded)
+    monkeypatch.setattr(S, "_entries", entries)
 
 
 def clusters(spark, angles):
@@ -35,10 +35,15 @@ def clusters(spark, angles):
 
 
 def test_components_are_compared_by_all_their_members(spark, one_bucket):
-    """0 and 1 are linked, 2 is near 1 alone: neither the bucket's first nor the least of a component shows it."""
-    df = spark.createDataFrame([(i, at(a)) for i, a in enumerate([0, 20, 41, 90])], "id BIGINT, vec ARRAY<FLOAT>")
-    links = S.similar_edges(df, 64, 0.92).collect()
-    assert sorted({(r.u, r.v) for r in links}) == [(0, 1), (1, 2)]
+    """5 is near 4 alone: neither the bucket's least id nor the least of a component shows it."""
+    vectors = spark.createDataFrame([(i, at(a)) for i, a in enumerate([0, 5, 10, 15, 20, 41, 90])], "id BIGINT, vec ARRAY<FLOAT>")
+    sets = S.describe(vectors, 64)
+    names, sample = S.draw(sets, vectors, 64)
+    links = S.similar_links(vectors, sets.select("id", "s", "e"), names, sample, 7, 0.92).collect()
+    near = np.eye(7, dtype=bool)
+    for r in links:
+        near[r.u, r.v] = near[r.v, r.u] = True
+    assert S._components(near).tolist() == [0] * 6 + [6]
 
 
 def test_leftovers_of_a_split_keep_their_links(spark, one_bucket):
