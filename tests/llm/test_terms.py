@@ -34,38 +34,109 @@ def test_wrong_scores(spark):
     assert terms.wrong_scores(ranked.limit(0), mapping, listed).collect() == []
 
 
-def plain_em(k, n, total, rounds):
-    """One term at a time, record by record in cells."""
-    cells = list(zip(k, n)) + [(0, total - sum(n))]
-    df, occ = sum(n), sum(a * b for a, b in zip(k, n))
-    high, low, share = occ / df * 1.5, 0.5 * occ / total, 0.5 * df / total
-    for _ in range(rounds):
-        r = [share * high**a * math.exp(-high) / (share * high**a * math.exp(-high) + (1 - share) * low**a * math.exp(-low)) for a, _ in cells]
-        elite = sum(p * b for p, (_, b) in zip(r, cells))
-        eo = sum(p * a * b for p, (a, b) in zip(r, cells))
-        share, high, low = elite / total, eo / elite, (occ - eo) / (total - elite)
-    return share, high, low
-
-
-def test_mixture_equals_a_plain_fit():
-    hists = [([1, 2, 9], [30, 10, 4]), ([1], [5]), ([1, 3, 4, 12], [2, 2, 2, 1])]
-    k = np.array([x for a, _ in hists for x in a])
-    n = np.array([x for _, b in hists for x in b])
-    lens = [len(a) for a, _ in hists]
-    starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
-    got = terms.fit_two_poisson(np.repeat(np.arange(3), lens), k, n, starts, 200, rounds=12)
-    for i, (a, b) in enumerate(hists):
-        assert [g[i] for g in got] == pytest.approx(plain_em(a, b, 200, 12), rel=1e-6)
+N = 2000
+HISTOGRAMS = [
+    ([1, 2], [50, 3]),  # rare, hardly bursty
+    ([1, 2, 9], [30, 10, 4]),
+    ([1, 3, 4, 12], [2, 2, 2, 1]),
+    ([1, 2, 3, 4, 5, 6, 7, 8], [200, 60, 30, 25, 30, 20, 12, 5]),
+    ([1, 2, 3], [400, 130, 43]),
+    ([1], [5]),  # no two kinds of records
+    ([1, 2, 3], [900, 60, 5]),
+    ([1, 2], [1990, 10]),  # in every record
+    ([40], [1]),
+]
+
+
+def fit(histograms, total=N, **kw):
+    lens = [len(a) for a, _ in histograms]
+    k, n = (np.concatenate([h[i] for h in histograms]) for i in (0, 1))
+    return terms.fit_two_poisson(np.repeat(np.arange(len(lens)), lens), k, n, total, **kw)
+
+
+def likelihood(k, n, share, high, low):
+    f = share * np.exp(-high) * high**k + (1 - share) * np.exp(-low) * low**k
+    return (n * np.log(f)).sum()
+
+
+def second_fit(k, n, total):
+    """One term at a time, by plain EM from many starts: the likeliest end."""
+    k, n = np.array([*k, 0.0]), np.array([*n, total - sum(n)], dtype=float)
+    df, occ, ends = n[:-1].sum(), (n * k).sum(), []
+    for m in (0.8, 1.2, 2.0, 4.0):
+        for s in (0.02, 0.3, 0.9):
+            high, low, share = occ / df * m, 0.2 * occ / total, s * df / total
+            for _ in range(30_000):
+                a, b = share * high**k * np.exp(-high), (1 - share) * low**k * np.exp(-low)
+                r = a / (a + b)
+                new = (n * r).sum() / total, (n * r * k).sum() / (n * r).sum(), (n * (1 - r) * k).sum() / (n * (1 - r)).sum()
+                still = max(abs(x - y) for x, y in zip(new, (share, high, low)))
+                share, high, low = new
+                if still < 1e-14:
+                    break
+            ends.append((likelihood(k, n, share, high, low), share, high, low) if high >= low else (likelihood(k, n, share, high, low), 1 - share, low, high))
+    return max(ends)
+
+
+def test_mixture_equals_a_second_fitter():
+    share, high, low, converged = fit(HISTOGRAMS)
+    assert converged.all()
+    k = np.arange(1, 13.0)
+    for i, (a, b) in enumerate(HISTOGRAMS[:5]):
+        best, s, h, lo = second_fit(a, b, N)
+        cells = np.array([*a, 0.0]), np.array([*b, N - sum(b)], dtype=float)
+        assert likelihood(*cells, share[i], high[i], low[i]) >= best - 1e-7
+        assert terms.elite_posterior(k, share[i], high[i], low[i]) == pytest.approx(terms.elite_posterior(k, s, h, lo), abs=1e-4)
+
+
+def test_more_steps_change_nothing():
+    k = np.arange(1, 10.0)
+    one, more = fit(HISTOGRAMS), fit(HISTOGRAMS, steps=50_000)
+    for i in range(len(HISTOGRAMS)):
+        assert terms.elite_posterior(k, *(x[i] for x in one[:3])) == pytest.approx(terms.elite_posterior(k, *(x[i] for x in more[:3])), abs=1e-6)
+    assert not fit(HISTOGRAMS, steps=1)[3][:5].any()  # reported, not passed over
+
+
+def test_terms_without_two_kinds_of_records_have_a_defined_model():
+    share, high, low, _ = fit(HISTOGRAMS[5:8])
+    assert low.tolist() == [0, 0, 0] and (terms.elite_posterior(np.array([1.0, 2.0]), share[0], high[0], low[0]) == 1).all()
+
+
+def test_common_terms_count_less_than_rare_ones(spark):
+    """At equal occurrences the score falls as the share of documents rises, whether or not counts vary much."""
+    rows, listed = [], []
+    for i, docs in enumerate((4, 40, 400, 1400)):
+        listed.append((i, f"term {i}"))
+        rows += [(i, d) for d in range(docs)] + [(i, d) for d in range(docs // 4)]
+    frame = spark.createDataFrame(rows + [(9, d) for d in range(1500)], "candidate_id BIGINT, row_id BIGINT")
+    got = terms.score_terms(frame, spark.createDataFrame([*listed, (9, "all")], "candidate_id BIGINT, candidate STRING")).collect()
+    for tf in (1, 2):
+        scores = [{r.distinctiveness for r in got if r.candidate_id == i and r.tf == tf} for i in range(4)]
+        assert all(len(s) == 1 for s in scores)
+        flat = [s.pop() for s in scores]
+        assert flat == sorted(flat, reverse=True), flat
+    assert all(r.converged for r in got)
 
 
 def test_bursty_term_is_elite_where_it_is_frequent():
     rng = np.random.default_rng(1)
     counts = np.concatenate([rng.poisson(0.2, 900), rng.poisson(6, 100)])
     k, n = np.unique(counts[counts > 0], return_counts=True)
-    share, high, low = (x[0] for x in terms.fit_two_poisson(np.zeros(len(k), int), k, n, np.array([0]), 1000))
+    share, high, low = (x[0] for x in fit([(k, n)], 1000)[:3])
     assert share == pytest.approx(0.1, abs=0.02) and high == pytest.approx(6, abs=0.6) and low == pytest.approx(0.2, abs=0.05)
 
 
+def test_fit_of_many_terms_converges():
+    rng = np.random.default_rng(8)
+    histograms = []
+    while len(histograms) < 400:
+        counts = rng.poisson(rng.choice([0.01, 0.3, 2, 9], size=N, p=rng.dirichlet([2, 1, 0.3, 0.1])))
+        if counts.any():
+            histograms.append(np.unique(counts[counts > 0], return_counts=True))
+    share, high, low, converged = fit(histograms)
+    assert converged.mean() > 0.99 and np.isfinite([share, high, low]).all() and (high > low).all()
+
+
 def test_run_lengths_over_batches():
     rows = sorted([("a", 1)] * 5 + [("a", 2)] * 3 + [("b", 2)] + [("c", i) for i in range(6)])
     rows = [(None, 1), (None, 1), (None, 2), *rows, ("d", None)]
