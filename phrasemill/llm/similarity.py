@@ -174,6 +174,7 @@ def choose_bands(x: np.ndarray, n: int, threshold: float, recall: float = RECALL
 def band_keys(x: np.ndarray, plan: Bands) -> np.ndarray:
     """Per vector one 64-bit key for each band: the ``rows`` nearest axes of its rotation and sides of other rotations."""
     dim, b = x.shape[1], plan.bands
+    own = np.random.default_rng(SEED + 1).integers(0, 1 << 63, size=b, dtype=np.uint64)
     keys, sides = np.empty((len(x), b), dtype=np.uint64), np.empty((len(x), b), dtype=np.uint64)
     for r in range(b):
         y = x @ _turn(dim, r)
@@ -183,7 +184,7 @@ def band_keys(x: np.ndarray, plan: Bands) -> np.ndarray:
         h = keys[:, r]
         for t in range(1, plan.bits + (r >= plan.plain) + 1):
             h = h * np.uint64(2) + sides[:, (r + t) % b]
-        h = (h + np.uint64(r)) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ own[r]) * np.uint64(0x9E3779B97F4A7C15)  # equal axes of two bands are different elements
         h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         keys[:, r] = h ^ (h >> np.uint64(32))
     return keys
