@@ -1,8 +1,10 @@
 import math
+import os
 import random
 
+import pytest
+
 from phrasemill.llm import topn
-from phrasemill.plans.storage import new_path
 
 SCHEMA = "row_id BIGINT, candidate_id BIGINT, tfidf_score DOUBLE, semantic_score FLOAT, g STRING, position INT"
 
@@ -41,18 +43,45 @@ def test_nan_second_score_is_lowest(spark):
     assert [r.candidate_id for r in got] == [3, 1, 2]
 
 
-def test_row_groups_below_the_nth_score_are_skipped(spark):
+def read(spark, data, n, **kw):
+    files = topn.write_clustered(spark.createDataFrame(data, SCHEMA).repartition(4), "row_id", "tfidf_score", "semantic_score", "candidate_id", n, **kw)
+    best = topn.read_best(files, n)
+    return sorted((r.g, r.i) for r in topn.top_n(best, n).collect()), topn.row_groups_read(best).first()
+
+
+def test_groups_larger_than_a_section_are_cut_and_skipped(spark):
     data = [(7, i, float(i), 0.0, "", 0) for i in range(20_000)] + [(8, 1, 1.0, 0.0, "", 0)]
-    path = new_path(spark, "test")
-    topn.write_clustered(spark.createDataFrame(data, SCHEMA).repartition(4), "row_id", "tfidf_score", "semantic_score", "candidate_id", path, row_group_bytes=16_384)
-    plan = topn.plan_row_groups(spark, path, 3).collect()
-    every = sum(topn._open(f).metadata.num_row_groups for f in spark.read.parquet(path).inputFiles())
-    assert every > 4 and len(plan) < every
-    assert sorted((r.g, r.i) for r in topn.top_n(spark, path, 3).collect()) == [(7, 19_997), (7, 19_998), (7, 19_999), (8, 1)]
+    got, (n_read, every) = read(spark, data + data[-500:], 3, section_rows=1000, row_group_rows=250)
+    assert got == [(7, 19_997), (7, 19_998), (7, 19_999), (8, 1)]
+    assert every > 60 and n_read <= 4
 
 
 def test_ties_at_the_cut_are_read(spark):
-    data = [(7, i, 1.0, float(i), "", 0) for i in range(20_000)]
-    path = new_path(spark, "test")
-    topn.write_clustered(spark.createDataFrame(data, SCHEMA).repartition(4), "row_id", "tfidf_score", "semantic_score", "candidate_id", path, row_group_bytes=16_384)
-    assert sorted(r.i for r in topn.top_n(spark, path, 2).collect()) == [19_998, 19_999]
+    data = [(7, i, 1.0, float(i), "", 0) for i in range(5_000)]
+    got, (n_read, every) = read(spark, data, 2, section_rows=1000, row_group_rows=250)
+    assert got == [(7, 4_998), (7, 4_999)] and n_read == every == 20
+
+
+def test_repeats_do_not_fill_up_a_group(spark):
+    data = [(7, 1, 9.0, 0.0, "", 0)] * 4000 + [(7, i, 1.0, 0.0, "", 0) for i in range(2, 4000)]
+    assert read(spark, data, 3, section_rows=1000, row_group_rows=250)[0] == [(7, 1), (7, 2), (7, 3)]
+
+
+def test_most_row_groups_of_small_groups_are_not_read(spark):
+    """Groups of about ten rows, hundreds to a row group: three of ten rows are the result."""
+    rng = random.Random(2)
+    data = [(g, i, rng.gauss(g % 17, 3), 0.0, "", 0) for g in range(4000) for i in range(rng.randrange(7, 15))]
+    got, (n_read, every) = read(spark, data, 3, section_rows=2000, row_group_rows=200)
+    assert got == brute(data) and n_read < 0.5 * every
+    few, (n_read, every) = read(spark, data, 1, section_rows=2000, row_group_rows=200)
+    assert few == brute(data, 1) and n_read < 0.35 * every
+
+
+@pytest.mark.parametrize("sf", ["sf0.1", "check_l"])
+def test_most_row_groups_of_the_test_tables_are_not_read(spark, sf):
+    path = f"/root/testdata/{sf}/ranked_candidates.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test tables")
+    files = topn.write_clustered(spark.read.parquet(path), "row_id", "tfidf_score", "semantic_score", "candidate_id")
+    n_read, every = topn.row_groups_read(topn.read_best(files, 3)).first()
+    assert every >= 20 and n_read < 0.5 * every
