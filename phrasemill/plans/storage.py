@@ -31,6 +31,13 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/phrasemill/{label}-{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as a URI with the scheme of its file system, for readers and writers outside Spark."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` below the shared folder and read it back: lineage is cut, and losing an executor loses nothing."""
     spark = df.sparkSession
