@@ -51,12 +51,12 @@ def _sections(rows_of_section: int):
 
 
 def _writer(folder: str, row_group_rows: int):
-    """One file for each task, with row groups that never hold rows of two sections, and no row twice; gives its path."""
+    """One file for each task, with row groups that never hold rows of two sections; gives the file's path."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = fs.FileSystem.from_uri(folder)
         path = f"{base}/{uuid.uuid4().hex}.parquet"  # a repeated task leaves a file that nothing refers to
-        sink, held, last = None, None, None
+        sink, held = None, None
 
         def flush(table: pa.Table, whole: bool) -> pa.Table:
             """Write full row groups of a table that is all of one section so far, and with ``whole`` the rest."""
@@ -67,11 +67,6 @@ def _writer(folder: str, row_group_rows: int):
             return table.slice(min(at, len(table)))
 
         for b in batches:
-            if not b.num_rows:
-                continue
-            key = np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) if c in "st" else b.column(c).to_numpy().view(float) for c in ("g", "s", "t", "i")]).view(np.int64)
-            new = (key != np.column_stack([~key[:, 0] if last is None else last, key[:, :-1]])).any(0)
-            last, b = key[:, -1], b.filter(pa.array(new))
             if not b.num_rows:
                 continue
             if sink is None:
@@ -98,11 +93,11 @@ def write_clustered(df: DataFrame, group: str, score: str, second: str, item: st
 
     Its columns are ``g, s, t, i`` (group, score, second score, item) with ``z, k, n``: the section, its groups, the
     group's rows. Rows without group or item and rows whose score is null or NaN are left out; a null or NaN second
-    score is lowest. A group's size and quantile sketch come from one aggregate that combines map-side. A group larger
+    score is lowest; repeated rows fold map-side and then by all their columns. A group's size and quantile sketch come from one aggregate that combines map-side. A group larger
     than a section is cut at its quantiles into parts, so no task holds all of it.
     """
     number = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
-    rows = df.select(F.col(group).cast("bigint").alias("g"), number(score).alias("s"), number(second).alias("t"), F.col(item).cast("bigint").alias("i")).filter("g is not null and s is not null and i is not null")
+    rows = df.select(F.col(group).cast("bigint").alias("g"), number(score).alias("s"), number(second).alias("t"), F.col(item).cast("bigint").alias("i")).filter("g is not null and s is not null and i is not null").distinct()
     sketch = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("s", QUANTILES, 200).alias("cuts"))
     place = F.lit(len(QUANTILES)) - F.size(F.filter(F.array(*map(F.lit, QUANTILES)), lambda q: q > F.greatest(F.col("n") - n + 1, F.lit(0)) / F.col("n")))
     level = sketch.withColumn("level", F.element_at("cuts", F.greatest(place, F.lit(1)).cast("int")))
@@ -139,7 +134,7 @@ def plan_row_groups(files: DataFrame, n: int) -> DataFrame:
     group's current N-th score is at least the least score of those before once they hold N rows; row groups whose
     greatest score is strictly below are left out. Of sections of several groups all are kept: reading decides.
     """
-    stats = files.repartition("file").mapInPandas(_footers, "file STRING, rg INT, n BIGINT, z BIGINT, k BIGINT, s_min DOUBLE, s_max DOUBLE")
+    stats = files.repartition(max(1, files.count()), "file").mapInPandas(_footers, "file STRING, rg INT, n BIGINT, z BIGINT, k BIGINT, s_min DOUBLE, s_max DOUBLE")
     alone = stats.filter("k = 1")
     by = Window.partitionBy("z").orderBy(F.desc("s_max"), F.desc("s_min"), "file", "rg").rowsBetween(Window.unboundedPreceding, -1)
     seen = alone.withColumn("_rows", F.coalesce(F.sum("n").over(by), F.lit(0))).withColumn("_low", F.min("s_min").over(by))
@@ -148,29 +143,36 @@ def plan_row_groups(files: DataFrame, n: int) -> DataFrame:
 
 
 class _Best:
-    """The best distinct rows of a section's groups among those read so far."""
+    """The best of a section's groups among the rows read so far."""
 
     def __init__(self, n: int, groups: int):
         self.n, self.groups = n, groups
-        self.rows = pd.DataFrame({"g": pd.Series(dtype="int64"), "s": [], "t": [], "i": pd.Series(dtype="int64"), "position": pd.Series(dtype="int64")})
-        self.seen, self.size = pd.Series(dtype="int64"), pd.Series(dtype="int64")
-
-    def add(self, t: pd.DataFrame) -> None:
-        self.seen = self.seen.add(t.groupby("g").size(), fill_value=0)
-        self.size = pd.concat([self.size, t.groupby("g")["n"].first()])
-        self.size = self.size[~self.size.index.duplicated()]
-        both = pd.concat([self.rows[["g", "s", "t", "i"]], t[["g", "s", "t", "i"]]])
-        both = both.sort_values(["g", "s", "t", "i"], ascending=[True, False, False, True], na_position="last").drop_duplicates()
-        both["position"] = both.groupby("g").cumcount() + 1
-        self.rows = both[both["position"] <= self.n]
+        self.rows: dict[str, np.ndarray] = {}
+
+    def add(self, t: pa.Table) -> None:
+        new = {c: t.column(c).to_numpy() for c in ("n", *COLUMNS)}
+        both = {c: np.concatenate([self.rows[c], x]) if self.rows else x for c, x in new.items()}
+        order = np.lexsort((both["i"], np.where(np.isnan(both["t"]), np.inf, -both["t"]), -both["s"], both["g"]))
+        self.rows = {c: x[order] for c, x in both.items()}
+        g = self.rows["g"]
+        self.start = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
+        self.width = np.diff(np.append(self.start, len(g)))
+        self.position = np.arange(len(g)) - np.repeat(self.start, self.width) + 1
+        if self.groups == 1:  # a part of a large group: the rest of it can't come back
+            self.rows = {c: x[: self.n] for c, x in self.rows.items()}
+            self.position, self.width = self.position[: self.n], np.minimum(self.width, self.n)
 
     def needs(self, greatest: float) -> bool:
         """Whether rows of a score up to ``greatest`` could still be among the best of any group of the section."""
-        if len(self.seen) < self.groups:
+        if not self.rows or len(self.start) < self.groups:
             return True
-        nth = self.rows[self.rows["position"] == self.n].set_index("g")["s"]
-        rest = self.seen.index.difference(nth.index)
-        return bool((self.seen[rest] < self.size[rest]).any() or (nth <= greatest).any())
+        full = self.width >= self.n
+        short = self.width[~full] < self.rows["n"][self.start[~full]]
+        return bool(short.any() or (self.rows["s"][self.start[full] + self.n - 1] <= greatest).any())
+
+    def best(self) -> pd.DataFrame:
+        keep = self.position <= self.n
+        return pd.DataFrame({c: self.rows[c][keep] for c in COLUMNS}).assign(position=self.position[keep], alone=self.groups == 1)
 
 
 FOUND = "g BIGINT, s DOUBLE, t DOUBLE, i BIGINT, position BIGINT, alone BOOLEAN"
@@ -189,9 +191,9 @@ def _reader(n: int):
                     for greatest, rg in section[["s_max", "rg"]].itertuples(index=False):
                         if not best.needs(greatest):
                             break  # the ones that follow have no greater score
-                        best.add(source.read_row_group(rg, columns=["n", *COLUMNS]).to_pandas())
+                        best.add(source.read_row_group(rg, columns=["n", *COLUMNS], use_threads=False))
                         read += 1
-                    yield best.rows.assign(alone=k == 1)
+                    yield best.best()
                 yield pd.DataFrame({"g": [None], "s": [None], "t": [None], "i": [source.metadata.num_row_groups], "position": [read], "alone": [False]}).astype({"g": "Int64", "s": float, "t": float})
 
     return run
@@ -199,8 +201,9 @@ def _reader(n: int):
 
 def read_best(files: DataFrame, n: int) -> DataFrame:
     """What :func:`_reader` finds, written to the shared folder. A file's row groups are read by one task, in order."""
+    parts = max(1, files.count())
     plan = plan_row_groups(files, n).groupBy("file").agg(F.collect_list(F.struct("z", "k", "s_max", "rg")).alias("plan"))  # one row for each row group of a file
-    return materialize(plan.mapInPandas(_reader(n), FOUND), "topn")
+    return materialize(plan.repartition(parts, "file").mapInPandas(_reader(n), FOUND), "topn")
 
 
 def row_groups_read(found: DataFrame) -> DataFrame:
