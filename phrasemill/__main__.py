@@ -23,6 +23,9 @@ def main(argv: list[str] | None = None) -> int:
             print(stage, "done" if ran else "skipped: output is complete")
     else:
         print(a.stage, "done" if getattr(pipe, f"run_{a.stage}")() else "skipped: output is complete")
+    if pipe.chunk_report is not None:
+        for r in pipe.chunk_report.orderBy("chunk_id").limit(20).collect():
+            print(r["chunk_id"], r["n_candidates"], "distinct candidates")
     return 0
 
 

@@ -21,8 +21,13 @@ def candidates_list(occurrences: DataFrame) -> DataFrame:
 
 
 def candidates_mapping(occurrences: DataFrame, listed: DataFrame, raw_tf: bool = False) -> DataFrame:
-    """``candidate_id, row_id``, one row per occurrence; ``raw_tf`` repeats a row for each span of the section."""
+    """``candidate_id, row_id``, one row per occurrence; ``raw_tf`` repeats a row for each of its ``n_spans``."""
     occ = occurrences.select("candidate", "row_id", "n_spans")
     if raw_tf:
         occ = occ.select("candidate", "row_id", F.explode(F.sequence(F.lit(1), F.col("n_spans").cast("int"))).alias("_k"))
     return occ.join(listed.select("candidate", "candidate_id"), "candidate").select("candidate_id", "row_id")
+
+
+def chunk_candidates(occurrences: DataFrame) -> DataFrame:
+    """``chunk_id, n_candidates``: distinct forms found in each chunk."""
+    return occurrences.groupBy("chunk_id").agg(F.count_distinct("candidate").alias("n_candidates"))

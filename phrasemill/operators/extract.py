@@ -97,7 +97,7 @@ def tokens(df: DataFrame, cfg: ExtractConfig = ExtractConfig()) -> DataFrame:
     if cfg.nlp_backend == "spacy":
         from ..functions.spacy_backend import spacy_tokens
 
-        return spacy_tokens(sections(df), cfg.spacy_model)
+        return spacy_tokens(sections(df), cfg.spacy_model, cfg.max_candidate_length, cfg.lemmatize)
     if cfg.nlp_backend != "rules":
         raise ValueError(f"unknown token backend {cfg.nlp_backend!r}; available: ['rules', 'spacy']")
     out = sections(df).withColumn("toks", tokenize(F.col("text"), cfg.hyphen)).drop("text")
@@ -108,7 +108,8 @@ def _all_spans(cfg: ExtractConfig) -> Column:
     def tagged(name: str) -> Column:
         k = list(SPAN_SOURCES).index(name)
         at = lambda s, i: F.struct(F.lit(k).alias("so"), F.lit(name).alias("tag"), i.alias("i"), s["st"].alias("st"), s["n"].alias("n"))
-        return F.transform(SPAN_SOURCES[name](F.col("cls"), cfg), at)
+        model = {"noun_chunk": "model_chunks", "dep_phrase": "model_phrases"} if cfg.nlp_backend == "spacy" else {}
+        return F.transform(F.col(model[name]) if name in model else SPAN_SOURCES[name](F.col("cls"), cfg), at)
 
     per_source = [tagged(name) for name in enabled_sources(cfg)]
     return F.concat(*per_source) if per_source else F.array().cast("array<struct<so:int,tag:string,i:int,st:int,n:int>>")
@@ -145,6 +146,8 @@ def _passes(core: Column, cfg: ExtractConfig) -> Column:
 
 def _norm_tokens(cfg: ExtractConfig) -> Column:
     cls, words = F.col("cls"), F.col("low" if cfg.lowercase else "toks")
+    if cfg.lemmatize and cfg.nlp_backend == "spacy":
+        return F.transform("model_lemmas", F.lower) if cfg.lowercase else F.col("model_lemmas")
     if cfg.lemmatize:
         return F.transform(words, lambda w, i: F.when(F.substr(cls, i + 1, F.lit(1)).isin("A", "N"), lemma(w)).otherwise(w))
     return words
@@ -175,14 +178,14 @@ def extract(df: DataFrame, cfg: ExtractConfig = ExtractConfig(), blacklist: Data
     """Occurrences ``row_id, candidate, surface_form, source_section, extraction_source`` with order columns.
 
     One row per document, section and normalised form: the surface of its first span, the sorted tags of all its
-    sources joined by ``|``, and ``n_spans``. ``source_ord`` and ``span_ord`` are those of the first span. A document
+    sources joined by ``|``, and ``n_spans``, its spans in the section (1 without ``keep_duplicates``). ``source_ord`` and ``span_ord`` are those of the first span. A document
     without text gives no row; an empty table gives an empty table of the same columns.
     """
     order = F.struct("source_ord", "span_ord")
     merged = kept_spans(df, cfg, blacklist).groupBy("row_id", "section_ord", "source_section", "candidate").agg(
         F.min(F.struct("source_ord", "span_ord", "surface_form")).alias("_f"),
         F.array_join(F.array_sort(F.collect_set("source")), "|").alias("extraction_source"),
-        F.count(order).alias("n_spans"),
+        (F.count(order) if cfg.keep_duplicates else F.lit(1).cast("bigint")).alias("n_spans"),
     )
     return merged.select("row_id", "candidate", F.col("_f.surface_form").alias("surface_form"), "source_section", "extraction_source", "section_ord", F.col("_f.source_ord").alias("source_ord"), F.col("_f.span_ord").alias("span_ord"), "n_spans")
 
@@ -190,8 +193,8 @@ def extract(df: DataFrame, cfg: ExtractConfig = ExtractConfig(), blacklist: Data
 def explain_spans(df: DataFrame, cfg: ExtractConfig = ExtractConfig(), blacklist: DataFrame | None = None) -> DataFrame:
     """Every raw span with its ``outcome``: KEPT, DUPLICATE or the reason why it was dropped.
 
-    Reasons in order: empty after trimming, length, no noun, punctuation, numeric, empty after normalisation,
-    blacklisted. A span is a duplicate if an earlier one of its section has the same normalised form.
+    Reasons in order: empty after trimming, length, no noun, punctuation, numeric, a stop word at the start or the end,
+    empty after normalisation, blacklisted. A span is a duplicate if an earlier one of its section has the same normalised form.
     """
     rows = tokens(df, cfg).withColumn("norm", _norm_tokens(cfg))
     flat = rows.select("row_id", "section_ord", "source_section", F.explode(F.transform(_trimmed(_all_spans(cfg)), _worded)).alias("s"))
@@ -207,6 +210,8 @@ def explain_spans(df: DataFrame, cfg: ExtractConfig = ExtractConfig(), blacklist
         .when(F.instr(core, "N") == 0, "DROPPED: no noun")
         .when(F.instr(core, "P") > 0, "DROPPED: punctuation")
         .when(core.rlike("^D+$"), "DROPPED: numeric")
+        .when(core.startswith("S"), "DROPPED: starts with a stop word")  # only if a source's spans are not trimmed
+        .when(core.endswith("S"), "DROPPED: ends with a stop word")
         .when(F.col("candidate") == "", "DROPPED: empty after normalise")
         .when(black, "DROPPED: blacklisted")
     )

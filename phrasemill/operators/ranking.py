@@ -11,6 +11,7 @@ from ..functions.text import format_documents, is_blank
 from ..functions.vectors import dot
 from ..plans.storage import materialize
 from ..sources.chunks import ChunkStore, assign_chunks
+from .balanced import dense_ids
 
 RANKED_COLUMNS = ("row_id", "candidate", "surface_form", "extraction_source", "tf", "df", "idf", "tfidf_score", "semantic_score", "rank_tfidf", "rank_semantic")
 
@@ -68,31 +69,27 @@ def semantic_scores(canon: DataFrame, documents: DataFrame, embedder: Embedder |
     cands = canon.select("candidate").distinct().withColumn("_cv", embedder.embed(F.col("candidate")))
     used = documents.join(canon.select("row_id").distinct(), "row_id", "left_semi").groupBy("row_id").agg(F.max("doc_text").alias("doc_text"))
     docs = used.withColumn("_dv", embedder.embed(F.col("doc_text"))).drop("doc_text")
-    out = canon.join(docs, "row_id", "left").join(cands, "candidate")
+    # Documents last: the dot product follows at once, and ranks within documents reuse that partitioning.
+    out = canon.join(cands, "candidate").join(docs, "row_id", "left")
     return out.withColumn("semantic_score", F.coalesce(dot(F.col("_cv"), F.col("_dv")), F.lit(0.0)).cast("float")).drop("_cv", "_dv")
 
 
 def semantic_scores_chunked(canon: DataFrame, documents: DataFrame, store: ChunkStore, chunk_size: int, embedder: Embedder | None = None) -> DataFrame:
     """:func:`semantic_scores` in resumable chunks of ``chunk_size`` documents: finished chunks of ``store`` are kept.
 
-    Candidates are embedded once for all chunks. Scores are stored by (document, candidate id) and joined back.
+    All unfinished chunks are computed in one job, whatever their number. Scores are stored by (document, candidate id)
+    and joined back. ``canon`` is read several times, so it should be a written table.
     """
-    spark = canon.sparkSession
-    embedder = embedder or get_embedder()
     ids = assign_chunks(canon.select("row_id").distinct(), "row_id", chunk_size)
     todo = store.pending(sorted(r["chunk_id"] for r in ids.select("chunk_id").distinct().collect()))  # a row for each chunk
     if todo:
-        cands = materialize(canon.select("candidate").distinct().withColumn("_cv", embedder.embed(F.col("candidate"))), "candidates")
-    for chunk in todo:
-        mine = ids.filter(F.col("chunk_id") == chunk).select("row_id")
-        texts = documents.join(mine, "row_id", "left_semi").groupBy("row_id").agg(F.max("doc_text").alias("doc_text"))
-        docs = texts.withColumn("_dv", embedder.embed(F.col("doc_text"))).drop("doc_text")
-        part = canon.select("row_id", "candidate_id", "candidate").join(mine, "row_id", "left_semi").join(docs, "row_id", "left").join(cands, "candidate")
-        score = F.coalesce(dot(F.col("_cv"), F.col("_dv")), F.lit(0.0)).cast("float")
-        store.save(chunk, part.select("row_id", "candidate_id", score.alias("semantic_score")))
+        done = canon.sparkSession.createDataFrame([(x,) for x in sorted(store.completed)], "chunk_id STRING")
+        mine = (ids.join(done, "chunk_id", "left_anti") if store.completed else ids).select("row_id", "chunk_id")
+        part = canon.select("row_id", "candidate_id", "candidate").join(mine, "row_id")
+        store.save_all(todo, semantic_scores(part, documents, embedder).select("row_id", "candidate_id", "semantic_score", "chunk_id"))
     kind = canon.schema["row_id"].dataType.simpleString()
-    done = store.load_all(spark, f"row_id {kind}, candidate_id BIGINT, semantic_score FLOAT").select("row_id", "candidate_id", "semantic_score")
-    return canon.join(done, ["row_id", "candidate_id"], "left")
+    saved = store.load_all(canon.sparkSession, f"row_id {kind}, candidate_id BIGINT, semantic_score FLOAT").select("row_id", "candidate_id", "semantic_score")
+    return canon.join(saved, ["row_id", "candidate_id"], "left")
 
 
 def unknown_documents(canon: DataFrame, documents: DataFrame) -> DataFrame:
@@ -111,15 +108,22 @@ def rank_candidates(mapping: DataFrame, listed: DataFrame, documents: DataFrame,
     With ``store`` the semantic scores are computed in resumable chunks of ``cfg.doc_chunk_size`` documents.
     """
     texts = format_documents(documents, cfg.format_mode, **({"cls_token": cfg.cls_token, "sep_token": cfg.sep_token} if cfg.format_mode == "cls_sep" else {}))
-    weighted, embedder = compute_tfidf(canonical(mapping, listed), cfg.smoothed_idf), get_embedder(cfg.embedder, model_name=cfg.model_name)
+    # Read for df, N, the candidates and the documents in use: written once instead of computed each time.
+    canon = materialize(canonical(mapping, listed), "canonical")
+    weighted, embedder = compute_tfidf(canon, cfg.smoothed_idf), get_embedder(cfg.embedder, model_name=cfg.model_name)
     if store is not None and cfg.doc_chunk_size:
-        scored = semantic_scores_chunked(weighted, texts, store, cfg.doc_chunk_size, embedder)
+        scored = semantic_scores_chunked(materialize(weighted, "weighted"), texts, store, cfg.doc_chunk_size, embedder)
     else:
         scored = semantic_scores(weighted, texts, embedder)
     ranked = rank_within(rank_within(scored, "tfidf_score", "rank_tfidf"), "semantic_score", "rank_semantic")
     return ranked.select(*RANKED_COLUMNS, *[c for c in ranked.columns if c not in RANKED_COLUMNS])
 
 
+def in_rank_order(ranked: DataFrame) -> DataFrame:
+    """``ranked`` with ``place`` from 1, in the order of document, TF-IDF rank and candidate id, by a range-partitioned sort."""
+    return dense_ids(ranked, ["row_id", "rank_tfidf", "candidate_id"], "place", 1)
+
+
 def score_ranges(ranked: DataFrame) -> DataFrame:
     """Least and greatest of both scores, pairs and distinct documents and candidates, in one pass."""
     return ranked.agg(

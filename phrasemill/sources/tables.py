@@ -12,6 +12,7 @@ from ..functions.text import strip
 
 LIST_SCHEMA = "candidate_id BIGINT, candidate STRING, surface_form STRING, extraction_source STRING"
 MAPPING_SCHEMA = "candidate_id BIGINT, row_id BIGINT"
+CLUSTER_SCHEMA = "candidate_id BIGINT, candidate STRING, cluster_id BIGINT, cluster_label STRING, cluster_size BIGINT"
 CLUSTER_COLUMNS = ("candidate_id", "candidate", "cluster_id", "cluster_label", "cluster_size")
 
 
@@ -72,6 +73,11 @@ def load_candidates_mapping(spark: SparkSession, path: str, columns: dict[str, s
     return _candidates(spark, path, columns or {}, MAPPING_SCHEMA, ("candidate_id", "row_id"))
 
 
+def load_clusters(spark: SparkSession, path: str) -> DataFrame:
+    """A clustering as :func:`write_clusters` leaves it."""
+    return _candidates(spark, path, {}, CLUSTER_SCHEMA, ("candidate_id", "cluster_id"))
+
+
 def load_blacklist(spark: SparkSession, path: str | None) -> DataFrame:
     """Phrases ``candidate``: stripped, lower-cased, distinct; blank lines and lines starting with ``#`` skipped.
 

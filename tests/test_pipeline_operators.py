@@ -246,3 +246,120 @@ def test_token_backends(spark):
         extract.tokens(d, ExtractConfig(nlp_backend="other"))
     with pytest.raises(ImportError, match="spacy"):
         extract.tokens(d, ExtractConfig(nlp_backend="spacy"))
+
+
+def shipped(tmp_path, base, suffix):
+    """A ranking configuration of the documented form, with outputs of one suffix below ``base``."""
+    return {
+        "data_path": f"{base}/in.parquet", "id_column": "APPLN_ID", "title_column": "APPLN_TITLE", "abstract_column": "APPLN_ABSTR",
+        "candidates_list_path": f"{base}/candidates_list{suffix}", "candidates_mapping_path": f"{base}/candidates_mapping{suffix}", "output_path": f"{base}/ranked{suffix}",
+        "candidates_list_columns": {"candidate_id": "candidate_id", "candidate": "candidate", "surface_form": "surface_form", "extraction_source": "extraction_source"},
+        "semantic": {"backend": "hashed", "model_name": "x", "batch_size": 64, "doc_chunk_size": 2, "checkpoint_dir": f"{base}/cs"},
+        "extraction": {"extract_chunk_size": 2, "checkpoint_dir": f"{base}/cx"},
+        "clustering": {"semantic_threshold": 0.92, "max_block_size": 2000, "output_path": f"{base}/clusters{suffix}", "doc_counts_path": f"{base}/counts{suffix}"},
+    }
+
+
+@pytest.mark.parametrize("suffix,scheme", [(".csv", ""), (".csv", "file://"), (".parquet", "file://")])
+def test_every_stage_with_paths_of_every_kind(spark, tmp_path, suffix, scheme):
+    from phrasemill.__main__ import main
+    from phrasemill.plans.pipeline import Pipeline
+    from phrasemill.sources.tables import load_candidates_mapping, load_clusters, read_any
+
+    rows = [(i, f"porous electrode {w}", f'the {w} electrode, "solid" cell holds a solid cell') for i, w in enumerate(["zinc", "tin", "iron", "lead", "gold"])] + [(9, None, " ")]
+    spark.createDataFrame(rows, "APPLN_ID BIGINT, APPLN_TITLE STRING, APPLN_ABSTR STRING").write.parquet(str(tmp_path / "in.parquet"))
+    raw = shipped(tmp_path, f"{scheme}{tmp_path}", suffix)
+    cfg = RankConfig.from_dict(raw)
+    pipe = Pipeline(spark, cfg, CFG)
+    assert set(pipe.run().values()) == {True} and set(pipe.run().values()) == {False}
+    assert dict(found(pipe.chunk_report, "chunk_id", "n_candidates")).keys() == {"chunk_0000", "chunk_0001", "chunk_0002"}
+    n = read_any(spark, cfg.candidates_list_path).count()
+    assert load_clusters(spark, cfg.clusters_path).count() == n and load_candidates_mapping(spark, cfg.candidates_mapping_path).count() > n
+    counts = {r.cluster_label: int(r.doc_count) for r in read_any(spark, cfg.doc_counts_path).collect()}
+    assert counts["solid cell"] == counts["porous electrode"] == 5
+    assert read_any(spark, cfg.output_path).count() > 0
+    # A new list makes the stages behind it run again.
+    changed = Pipeline(spark, cfg, ExtractConfig(use_ngram_backoff=False, max_candidate_length=3))
+    assert changed.run() == {"extract": True, "rank": True, "cluster": True, "count": True}
+    (tmp_path / "cfg.json").write_text(json.dumps(raw))
+    (tmp_path / "ex.json").write_text(json.dumps({"use_ngram_backoff": False, "max_candidate_length": 3}))
+    assert main(["run", "--config", str(tmp_path / "cfg.json"), "--extract-config", str(tmp_path / "ex.json")]) == 0
+
+
+def jobs(spark, group, run):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_jobs_do_not_grow_with_chunks(spark, tmp_path):
+    from phrasemill.plans.pipeline import Pipeline
+
+    spark.createDataFrame([(i, f"porous electrode {i}", "a solid cell") for i in range(24)], "APPLN_ID BIGINT, APPLN_TITLE STRING, APPLN_ABSTR STRING").write.parquet(str(tmp_path / "in.parquet"))
+    took = []
+    for size in (12, 1):
+        raw = shipped(tmp_path, str(tmp_path), ".parquet")
+        for part in ("extraction", "semantic"):
+            raw[part]["checkpoint_dir"] += str(size)
+        raw["extraction"]["extract_chunk_size"] = raw["semantic"]["doc_chunk_size"] = size
+        raw |= {k: raw[k].replace(".parquet", f"{size}.parquet") for k in ("candidates_list_path", "candidates_mapping_path", "output_path")}
+        pipe = Pipeline(spark, RankConfig.from_dict(raw), CFG)
+        took.append(jobs(spark, f"chunks {size}", lambda: (pipe.run_extract(), pipe.run_rank())))
+    assert took[0] == took[1] > 0
+
+
+def test_interrupted_chunks_are_written_anew_and_empty_ones_count(spark, tmp_path):
+    d = assign_chunks(docs(spark, *[(i, "t", "a") for i in range(6)]), "row_id", 2).select("row_id", "chunk_id")
+    store = ChunkStore(tmp_path / "c", "one")
+    d.filter("chunk_id = 'chunk_0001'").write.partitionBy("chunk_id").parquet(str(tmp_path / "c"))  # left by a run that died
+    store.save_all(["chunk_0000", "chunk_0001", "chunk_0002"], d.filter("chunk_id <> 'chunk_0002'"))
+    again = ChunkStore(f"file://{tmp_path}/c", "one")
+    assert found(again.load_all(spark, "row_id BIGINT"), "row_id") == [(0,), (1,), (2,), (3,)] and again.is_done("chunk_0002")
+
+
+def test_keep_duplicates(spark):
+    d = docs(spark, (1, "zinc cell", "zinc cell and zinc cell"))
+    for keep, spans in ((True, 2), (False, 1)):
+        got = extract.extract(d, ExtractConfig(use_ngram_backoff=False, use_dependency_phrases=False, keep_duplicates=keep))
+        assert found(got.filter("candidate = 'zinc cell'"), "source_section", "n_spans") == [("abstract", spans), ("title", 1)]
+
+
+def test_ranking_in_order(spark):
+    df = spark.createDataFrame([(2, 1, 1), (1, 5, 2), (1, 4, 1), (1, 3, 1)], "row_id BIGINT, candidate_id BIGINT, rank_tfidf INT")
+    assert found(ranking.in_rank_order(df), "place", "row_id", "candidate_id") == [(1, 1, 3), (2, 1, 4), (3, 1, 5), (4, 2, 1)]
+
+
+def test_model_backend_gives_its_own_chunks_phrases_and_lemmas(spark):
+    """A stand-in for the model: what matters is which of its answers become spans and forms."""
+    from phrasemill.functions import spacy_backend
+
+    class Token:
+        def __init__(self, i, text, pos, dep, lemma):
+            self.i, self.text, self.pos_, self.dep_, self.lemma_, self.lefts = i, text, pos, dep, lemma, []
+            self.is_punct, self.is_stop, self.like_num, self.is_digit = pos == "PUNCT", text == "the", False, False
+
+    class Doc(list):
+        noun_chunks = ()
+
+    class Chunk:
+        def __init__(self, start, end):
+            self.start, self.end = start, end
+
+    def load(name, lemmas):
+        class Model:
+            def pipe(self, texts):
+                for _ in texts:
+                    d = Doc([Token(0, "the", "DET", "det", "the"), Token(1, "Solid", "ADJ", "amod", "solid"), Token(2, "State", "NOUN", "compound", "state"), Token(3, "Batteries", "NOUN", "ROOT", "battery"), Token(4, "Volta", "PROPN", "appos", "volt")])
+                    d[3].lefts = [d[0], d[1], d[2]]
+                    d.noun_chunks = (Chunk(0, 4),)
+                    yield d
+
+        return Model()
+
+    out = spacy_backend.spacy_tokens(extract.sections(docs(spark, (1, "x", None))), "m", 4, True, load).first()
+    assert out.cls == "SANNN" and [tuple(s) for s in out.model_chunks] == [(1, 4)] and [tuple(s) for s in out.model_phrases] == [(2, 3)]
+    assert out.model_lemmas == ["the", "solid", "state", "battery", "Volta"]
+    assert spacy_backend.phrase_spans([], 4) == []
