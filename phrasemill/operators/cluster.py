@@ -11,7 +11,8 @@ from ..functions.embedding import Embedder, get_embedder
 from ..functions.text import block_key
 from ..functions.tokens import lemma_key
 from ..functions.vectors import dot, unit
-from .components import star_components
+from ..plans.storage import materialize
+from .components import connected_components
 from .tiles import TILE, forest, sides, tile_pairs
 
 
@@ -105,7 +106,7 @@ def embed_candidates(cands: DataFrame, embedder: Embedder | None = None) -> Data
 
 def merge_groups(cands: DataFrame, edges: DataFrame) -> DataFrame:
     """``ord, candidate, first_ord``: components over ``edges``; a candidate without edges is its own group."""
-    comp = star_components(edges.select("u", "v"))
+    comp = connected_components(edges.select("u", "v"))
     return cands.join(comp.withColumnRenamed("node", "ord"), "ord", "left").select("ord", "candidate", F.coalesce("root", "ord").alias("first_ord"))
 
 
@@ -132,8 +133,8 @@ def cluster_candidates(listed: DataFrame, threshold: float = 0.85, max_block_siz
     """
     from .balanced import dense_ids
 
-    cands = ordered_candidates(listed)
-    vecs = embed_candidates(cands, embedder)
+    vecs = materialize(embed_candidates(ordered_candidates(listed), embedder), "vectors")  # read for edges and for labels
+    cands = vecs.select("candidate", "ord")
     blocks = vecs.withColumn("block", block_key(F.col("candidate")))
     edges = exact_similarity_edges(blocks, threshold, spanning=True) if max_block_size is None else similarity_edges(blocks, threshold, max_block_size)
     groups = merge_groups(cands, lemma_edges(cands).unionByName(edges.select("u", "v")))

@@ -37,7 +37,7 @@ TOKENS = (
 ORD = "row_number() OVER (PARTITION BY row_id, section_ord ORDER BY {0}) - 1"
 SPANS = (
     TOKENS
-    + f""", pos AS (SELECT *, unnest(range(1, length(cls) + 1)) AS i FROM tok),
+    + f""", pos AS MATERIALIZED (SELECT *, unnest(range(1, length(cls) + 1)) AS i FROM tok),
   nc AS (SELECT *, {ORD.format('st')} AS span_ord FROM (
     SELECT row_id, section_ord, source_section, toks, cls, 0 AS source_ord, 'noun_chunk' AS source, i AS st, length(regexp_extract(substr(cls, i), '^[AN]*N')) AS n
     FROM pos WHERE substr(cls, i, 1) IN ('A', 'N') AND (i = 1 OR substr(cls, i - 1, 1) NOT IN ('A', 'N'))) WHERE n > 0),
@@ -53,7 +53,7 @@ SPANS = (
 )
 OCC = (
     SPANS
-    + f""", occ AS (SELECT row_id, candidate, arg_min(surface_form, source_ord * 1000000 + span_ord) AS surface_form, source_section, section_ord,
+    + f""", occ AS MATERIALIZED (SELECT row_id, candidate, arg_min(surface_form, source_ord * 1000000 + span_ord) AS surface_form, source_section, section_ord,
     array_to_string(list_sort(list_distinct(list(source))), '|') AS extraction_source, min(source_ord * 1000000 + span_ord) AS first_at, count(*) AS n_spans
     FROM kept WHERE candidate NOT IN {_in(BLACKLIST)} GROUP BY row_id, candidate, source_section, section_ord)"""
 )
@@ -113,8 +113,14 @@ DOC_COUNTS = """member AS (SELECT DISTINCT candidate_id, cluster_id FROM candida
   dc AS (SELECT cluster_id, count(DISTINCT row_id) AS doc_count FROM candidates_mapping JOIN member USING (candidate_id) WHERE row_id IS NOT NULL GROUP BY 1),
   meta AS (SELECT cluster_id, min(cluster_label) AS cluster_label, min(cluster_size) AS cluster_size FROM candidate_clusters WHERE cluster_id IS NOT NULL GROUP BY 1)"""
 SIZES = "sizes AS (SELECT cluster_id, count(DISTINCT candidate) AS cluster_size FROM candidate_clusters WHERE cluster_id IS NOT NULL GROUP BY 1)"
-CHUNKS = f"""{DOCS}, ch AS (SELECT row_id, (row_number() OVER (ORDER BY row_id) - 1) // {CHUNK} AS chunk_no FROM docs),
-  chunks AS (SELECT *, 'chunk_' || lpad(CAST(chunk_no AS VARCHAR), 4, '0') AS chunk_id FROM ch)"""
+CHUNKS_ONLY = f"""ch AS (SELECT row_id, (row_number() OVER (ORDER BY row_id) - 1) // {CHUNK} AS chunk_no FROM docs),
+  chunks AS (SELECT *, 'chunk_' || lpad(CAST(chunk_no AS VARCHAR), CAST(greatest(4, length(CAST(chunk_no AS VARCHAR))) AS INTEGER), '0') AS chunk_id FROM ch)"""
+CHUNKS = f"{DOCS}, {CHUNKS_ONLY}"
+EXPLAIN = f"""{SPANS}, why AS (SELECT *, CASE WHEN core = '' THEN 'DROPPED: empty after trim' WHEN length(core) > 4 THEN 'DROPPED: length'
+    WHEN NOT contains(core, 'N') THEN 'DROPPED: no noun' WHEN contains(core, 'P') THEN 'DROPPED: punctuation' WHEN candidate = '' THEN 'DROPPED: empty after normalise'
+    WHEN candidate IN {_in(BLACKLIST)} THEN 'DROPPED: blacklisted' END AS d FROM worded),
+  num AS (SELECT *, row_number() OVER (PARTITION BY row_id, section_ord, candidate, d IS NULL ORDER BY source_ord, span_ord) AS rn FROM why),
+  explained AS (SELECT row_id, source_section, source, span_ord, candidate, coalesce(d, CASE WHEN rn > 1 THEN 'DUPLICATE' ELSE 'KEPT' END) AS outcome FROM num)"""
 _raw_spans = "SELECT row_id, source_section, source, span_ord, st AS start, CAST(n AS BIGINT) AS len FROM {0}"
 
 ORACLE: dict[str, str] = {
@@ -127,11 +133,9 @@ ORACLE: dict[str, str] = {
     "q_normalize_lemma": f"WITH {SPANS} SELECT row_id, source_section, source, span_ord, surface_form, lemma_candidate AS candidate FROM kept",
     "q_blacklist": f"WITH {SPANS} SELECT candidate, count(*) AS n_spans FROM kept WHERE candidate NOT IN {_in(BLACKLIST)} GROUP BY 1",
     "q_extract": f"WITH {OCC} SELECT row_id, candidate, surface_form, source_section, extraction_source, n_spans FROM occ",
-    "q_explain_spans": f"""WITH {SPANS}, why AS (SELECT *, CASE WHEN core = '' THEN 'DROPPED: empty after trim' WHEN length(core) > 4 THEN 'DROPPED: length'
-        WHEN NOT contains(core, 'N') THEN 'DROPPED: no noun' WHEN contains(core, 'P') THEN 'DROPPED: punctuation' WHEN candidate = '' THEN 'DROPPED: empty after normalise'
-        WHEN candidate IN {_in(BLACKLIST)} THEN 'DROPPED: blacklisted' END AS d FROM worded),
-      num AS (SELECT *, row_number() OVER (PARTITION BY row_id, section_ord, candidate, d IS NULL ORDER BY source_ord, span_ord) AS rn FROM why)
-      SELECT source, coalesce(d, CASE WHEN rn > 1 THEN 'DUPLICATE' ELSE 'KEPT' END) AS outcome, count(*) AS n_spans FROM num GROUP BY ALL""",
+    "q_explain_spans": f"WITH {EXPLAIN} SELECT source, outcome, count(*) AS n_spans FROM explained GROUP BY ALL",
+    "q_explain_rows": f"WITH {EXPLAIN} SELECT row_id, source_section, source, span_ord, candidate, outcome FROM explained",
+    "q_extract_once": f"WITH {OCC} SELECT candidate, count(*) AS n_sections, count(*) AS n_spans FROM occ GROUP BY 1",
     "q_candidates_list": f"WITH {LISTED} SELECT * FROM listed",
     "q_candidates_mapping": f"WITH {LISTED} SELECT candidate_id, row_id FROM occ JOIN listed USING (candidate)",
     "q_extracted_tfidf": f"""WITH {OCC}, canon AS (SELECT row_id, candidate, count(*) AS tf FROM occ GROUP BY ALL), {DF}
@@ -142,6 +146,8 @@ ORACLE: dict[str, str] = {
     "q_tfidf_raw": f"WITH {CANON}, {DF} SELECT row_id, candidate_id, tf, df, round(ln(n / df) + 1, 6) AS idf, round(tf * (ln(n / df) + 1), 6) AS tfidf_score FROM canon JOIN dfs USING (candidate), nn",
     "q_rank_tfidf": f"WITH {TFIDF} SELECT row_id, candidate_id, round(tfidf_score, 6) AS tfidf_score, rank() OVER (PARTITION BY row_id ORDER BY round(tfidf_score, 9) DESC) AS rank_tfidf FROM tfidf",
     "q_ranked_candidates": RANKED + " SELECT * FROM ranked",
+    "q_ranking_order": f"""WITH {TFIDF}, r AS (SELECT row_id, candidate_id, rank() OVER (PARTITION BY row_id ORDER BY round(tfidf_score, 9) DESC) AS rank_tfidf FROM tfidf)
+      SELECT row_number() OVER (ORDER BY row_id, rank_tfidf, candidate_id) AS place, row_id, candidate_id, rank_tfidf FROM r""",
     "q_score_ranges": RANKED + """ SELECT min(tfidf_score) AS min_tfidf, max(tfidf_score) AS max_tfidf, min(semantic_score) AS min_semantic, max(semantic_score) AS max_semantic,
       count(*) AS n_pairs, count(DISTINCT row_id) AS n_documents, count(DISTINCT candidate) AS n_candidates FROM ranked""",
     "q_format_cls_sep": f"WITH {TEXTS} SELECT row_id, doc_text FROM texts",
@@ -171,6 +177,7 @@ ORACLE: dict[str, str] = {
     "q_cluster_summary": f"WITH {SIZES} SELECT count(*) AS n_clusters, count(*) FILTER (cluster_size <= 1) AS n_singletons, count(*) FILTER (cluster_size > 1) AS n_multi, CAST(coalesce(sum(cluster_size) FILTER (cluster_size > 1), 0) AS BIGINT) AS n_in_multi FROM sizes",
     "q_matching_candidates": "SELECT DISTINCT candidate, cluster_id FROM candidate_clusters WHERE regexp_matches(candidate, '^batter')",
     "q_chunk_assign": f"WITH {CHUNKS} SELECT row_id, chunk_no, chunk_id FROM chunks",
+    "q_chunk_candidates": f"WITH {OCC}, {CHUNKS_ONLY} SELECT chunk_id, count(DISTINCT candidate) AS n_candidates FROM occ JOIN chunks USING (row_id) GROUP BY 1",
     "q_resume_pending": f"WITH {CHUNKS} SELECT row_id, chunk_no, chunk_id FROM chunks WHERE chunk_id NOT IN ('chunk_0000', 'chunk_0002')",
     "p1_found": f"WITH {DOC_COUNTS} SELECT DISTINCT s.cluster_id FROM cluster_doc_counts s LEFT JOIN dc USING (cluster_id) WHERE s.cluster_id IS NOT NULL AND s.doc_count IS DISTINCT FROM coalesce(dc.doc_count, 0)",
     "p1_candidate_counts": "SELECT candidate_id, count(*) AS n_rows, count(DISTINCT row_id) AS n_distinct FROM candidates_mapping GROUP BY 1",

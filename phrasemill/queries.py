@@ -12,6 +12,7 @@ from .config import ExtractConfig, RankConfig
 from .functions.text import block_key, format_documents, get_formatter
 from .operators import balanced, cluster, components, coverage, dictionary, extract, ranking
 from .plans.session import read_table, spread
+from .plans.storage import materialize
 from .sources.chunks import assign_chunks
 from .sources.tables import latest_revision
 
@@ -116,6 +117,28 @@ def q_explain_spans(spark, d):
     return plain(x.groupBy("source", "outcome").agg(F.count(F.lit(1)).alias("n_spans")))
 
 
+@query
+def q_explain_rows(spark, d):
+    """Every raw span with its form and what became of it."""
+    x = extract.explain_spans(documents(spark, d), CFG, blacklist(spark))
+    return plain(x.select("row_id", "source_section", "source", "span_ord", "candidate", "outcome"))
+
+
+@query
+def q_extract_once(spark, d):
+    """Extraction without ``keep_duplicates``: a form counts once in a section."""
+    cfg = ExtractConfig(use_ngram_backoff=False, keep_duplicates=False)
+    occ = extract.extract(documents(spark, d), cfg, blacklist(spark))
+    return plain(occ.groupBy("candidate").agg(F.count(F.lit(1)).alias("n_sections"), F.sum("n_spans").alias("n_spans")))
+
+
+@query
+def q_chunk_candidates(spark, d):
+    """Distinct candidates of each chunk of documents."""
+    chunks = assign_chunks(documents(spark, d).select("row_id"), "row_id", CHUNK).select("row_id", "chunk_id")
+    return plain(dictionary.chunk_candidates(occurrences(spark, d).join(chunks, "row_id")))
+
+
 @query
 def q_candidates_list(spark, d):
     return plain(dictionary.candidates_list(occurrences(spark, d)))
@@ -123,7 +146,7 @@ def q_candidates_list(spark, d):
 
 @query
 def q_candidates_mapping(spark, d):
-    occ = occurrences(spark, d)
+    occ = materialize(occurrences(spark, d), "occurrences")
     return plain(dictionary.candidates_mapping(occ, dictionary.candidates_list(occ)))
 
 
@@ -131,7 +154,7 @@ def q_candidates_mapping(spark, d):
 def q_extracted_tfidf(spark, d):
     """The flagship: extraction through TF-IDF to ranks within documents."""
     occ = occurrences(spark, d)
-    tf = occ.groupBy("row_id", "candidate").agg(F.count(F.lit(1)).alias("tf"))
+    tf = materialize(occ.groupBy("row_id", "candidate").agg(F.count(F.lit(1)).alias("tf")), "counts")  # read for df, N and the scores
     out = ranking.rank_within(ranking.compute_tfidf(tf), "tfidf_score", "rank_tfidf")
     return plain(out.select("row_id", "candidate", "tf", "df", "idf", "tfidf_score", "rank_tfidf"))
 
@@ -171,6 +194,13 @@ def q_ranked_candidates(spark, d):
     return plain(ranking.rank_candidates(*_tables(spark, d), documents(spark, d), RankConfig()))
 
 
+@query
+def q_ranking_order(spark, d):
+    """The ranking in the order of document, rank and candidate."""
+    ranked = ranking.rank_within(ranking.compute_tfidf(ranking.canonical(*_tables(spark, d))), "tfidf_score", "rank_tfidf")
+    return plain(ranking.in_rank_order(ranked.select("row_id", "candidate_id", "rank_tfidf")).select("place", "row_id", "candidate_id", "rank_tfidf"))
+
+
 @query
 def q_score_ranges(spark, d):
     return plain(ranking.score_ranges(ranking.rank_candidates(*_tables(spark, d), documents(spark, d), RankConfig())))
@@ -267,7 +297,7 @@ def q_block_cap_candidates(spark, d):
 
 @query
 def q_components(spark, d):
-    return components.star_components(cluster.similarity_edges(_embeddings(spark, d), EMBEDDING_THRESHOLD, BLOCK_CAP))
+    return components.connected_components(cluster.similarity_edges(_embeddings(spark, d), EMBEDDING_THRESHOLD, BLOCK_CAP))
 
 
 @query
@@ -277,7 +307,7 @@ def q_similarity_edges_exact(spark, d):
 
 @query
 def q_components_exact(spark, d):
-    return components.star_components(cluster.exact_similarity_edges(_embeddings(spark, d), EMBEDDING_THRESHOLD, spanning=True))
+    return components.connected_components(cluster.exact_similarity_edges(_embeddings(spark, d), EMBEDDING_THRESHOLD, spanning=True))
 
 
 @query
