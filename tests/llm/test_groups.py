@@ -1,8 +1,10 @@
 import random
 
+import numpy as np
 import pytest
 
 import phrasemill.llm.groups as groups
+from phrasemill.operators import unionfind
 
 
 def brute(edges):
@@ -32,12 +34,25 @@ def edges():
 
 @pytest.mark.parametrize("limit", [4_000_000, 900, 60])
 def test_groups_at_every_bound(spark, limit):
-    """One bounded merge, merges after reduction by node, and star contraction where forests exceed the bound."""
+    """One bounded merge, one level of contraction, and several levels."""
     df = spark.createDataFrame(edges(), "a BIGINT, b BIGINT").repartition(6)
     got = {r.node: r.root for r in groups.group_matches(df, merge_edges=limit, fan_in=2).collect()}
     assert got == brute(edges())
 
 
+def test_large_sparse_graph_beyond_the_bound(spark):
+    """Paths, a hub and a random graph of 400,000 edges against a bound of 40,000, by sizes of the components."""
+    path = spark.range(150_000).selectExpr("id * 7919 % 1000003 as a", "(id + 1) * 7919 % 1000003 as b")
+    hub = spark.range(1, 50_000).selectExpr("2000000L as a", "2000000 + id as b")
+    loose = spark.range(200_000).selectExpr("3000000 + xxhash64(id) % 300000 as a", "3000000 + xxhash64(id, 1) % 300000 as b")
+    df = path.union(hub).union(loose)
+    sizes = lambda t: sorted((r["root"], r["count"]) for r in t.groupBy("root").count().collect())
+    rows = df.toPandas()
+    node, root = unionfind.stars(rows["a"].to_numpy(), rows["b"].to_numpy())
+    every, n = np.unique(np.concatenate([root, np.unique(root)]), return_counts=True)
+    assert sizes(groups.group_matches(df.repartition(12), merge_edges=40_000)) == list(zip(every.tolist(), n.tolist()))
+
+
 def test_one_row_for_each_node_and_empty(spark):
     df = spark.createDataFrame(edges(), "a BIGINT, b BIGINT").repartition(3)
     out = groups.group_matches(df)
