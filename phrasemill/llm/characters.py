@@ -9,47 +9,56 @@ from functools import lru_cache
 
 # Letters of other scripts drawn like a Latin letter, as 'Latin: look-alikes'.
 LOOKALIKES = """
-a: а
-c: с ϲ
+a: а α
+c: с ϲ ⲥ
 d: ԁ
-e: е
-h: һ
-i: і
+e: е ҽ
+g: ց
+h: һ հ
+i: і ι
 j: ј ϳ
 l: ӏ
-o: о ο օ
-p: р
-q: ԛ
+n: ո
+o: о ο օ ⲟ
+p: р ρ ⲣ
+q: ԛ գ
+r: г
 s: ѕ
-w: ԝ
-x: х
+u: ս
+v: ν ѵ
+w: ԝ ѡ
+x: х ⲭ
 y: у ү
-A: А Α
-B: В Β
-C: С Ϲ
-E: Е Ε
+A: А Α Ꭺ
+B: В Β Ᏼ
+C: С Ϲ Ꮯ Ⲥ
+D: Ꭰ
+E: Е Ε Ꭼ
 F: Ϝ
-G: Ԍ
-H: Н Η
+G: Ԍ Ꮐ
+H: Н Η Ꮋ
 I: І Ι Ӏ
-J: Ј
-K: К Κ
-M: М Μ
-N: Ν
-O: О Ο
-P: Р Ρ
+J: Ј Ꭻ
+K: К Κ Ꮶ
+L: Ꮮ
+M: М Μ Ꮇ
+N: Ν Ⲛ
+O: О Ο Օ Ⲟ
+P: Р Ρ Ꮲ
 Q: Ԛ
-S: Ѕ
-T: Т Τ
-V: Ѵ
-W: Ԝ
+R: Ꭱ
+S: Ѕ Տ Ꮪ
+T: Т Τ Ꭲ
+U: Ս
+V: Ѵ Ꮩ
+W: Ԝ Ꮃ
 X: Х Χ
 Y: Ү Υ У
-Z: Ζ
+Z: Ζ Ꮓ
 """
 TO_LATIN = {x: latin for latin, others in (line.split(": ") for line in LOOKALIKES.split("\n") if line) for x in others.split()}
-#: A run of Latin, Greek or Cyrillic letters with their combining marks; other scripts have no look-alikes here.
-WORD = re.compile("[A-Za-zªºµÀ-ÖØ-öø-ɏͰ-ϿЀ-ԯա-ևḀ-ỿἀ-῿][A-Za-zªºµÀ-ÖØ-öø-ɏͰ-ϿЀ-ԯա-ևḀ-ỿἀ-῿\u0300-\u036f]*")
+#: A run of Latin, Greek, Cyrillic, Armenian, Cherokee or Coptic letters with their combining marks; other scripts have no look-alikes here.
+WORD = re.compile("[A-Za-zªºµÀ-ÖØ-öø-ɏͰ-ϿЀ-ԯԱ-Ֆա-ևᎠ-ᏽḀ-ỿἀ-῿Ⲁ-ⳮ][A-Za-zªºµÀ-ÖØ-öø-ɏͰ-ϿЀ-ԯԱ-Ֆա-ևᎠ-ᏽḀ-ỿἀ-῿Ⲁ-ⳮ\u0300-\u036f]*")
 
 
 @lru_cache(None)
@@ -72,22 +81,23 @@ _SKELETON = str.maketrans(TO_LATIN)
 
 
 def _plain_table() -> dict[int, str | None]:
-    """Invisible characters to nothing, single gaps to a space, full-width forms, ligatures and numerals to ordinary ones."""
+    """Invisible characters to nothing, single gaps to a space, full-width and mathematical forms, ligatures and numerals to ordinary ones."""
     table: dict[int, str | None] = {}
-    for cp in range(0x80, 0x10000):
+    planes = (range(0x80, 0x10000), range(0x10000, 0x14000), range(0x1BC00, 0x1BD00), range(0x1D100, 0x1D800), range(0xE0000, 0xE0200))
+    for cp in (x for p in planes for x in p):
         kind = unicodedata.category(chr(cp))
-        if kind == "Cf" or cp == 0x034F or 0xFE00 <= cp <= 0xFE0F or 0x180B <= cp <= 0x180F:
+        if kind == "Cf" or cp == 0x034F or 0xFE00 <= cp <= 0xFE0F or 0x180B <= cp <= 0x180F or 0xE0100 <= cp <= 0xE01EF:
             table[cp] = None
         elif kind in ("Zs", "Zl", "Zp"):
             table[cp] = " "
-        elif 0xFF01 <= cp <= 0xFF60 or 0xFFE0 <= cp <= 0xFFE6 or 0xFB00 <= cp <= 0xFB06 or 0x2160 <= cp <= 0x217F:
+        elif 0xFF01 <= cp <= 0xFF60 or 0xFFE0 <= cp <= 0xFFE6 or 0xFB00 <= cp <= 0xFB06 or 0x2160 <= cp <= 0x217F or 0x1D400 <= cp <= 0x1D7FF:
             table[cp] = unicodedata.normalize("NFKC", chr(cp))
     table.update({0x2010: "-", 0x2011: "-", 0xB5: "μ"})
     table.update({ord(c): " " for c in "\t\n\v\f\r\x85"})
     return table
 
 
-_PLAIN = _plain_table()
+PLAIN = _plain_table()
 _ASCII_GAP = re.compile(r"\r\n?|[\t\n\v\f]")
 
 
@@ -95,7 +105,7 @@ def plain(text: str) -> str:
     """``text`` without differences that no reader sees, apart from look-alike letters: NFC, with every single gap a space."""
     if text.isascii():
         return _ASCII_GAP.sub(" ", text).strip()
-    out = text.replace("\r\n", " ").translate(_PLAIN)
+    out = text.replace("\r\n", " ").translate(PLAIN)
     return unicodedata.normalize("NFC", out).strip()
 
 
@@ -154,6 +164,11 @@ def suspects(text: str) -> dict[str, list[str]]:
     return out
 
 
+def is_mixed(word: str) -> bool:
+    """Whether a word has letters of more than one script."""
+    return not word.isascii() and len(_scripts(word)) > 1
+
+
 def pure_words(text: str) -> set[str]:
     """Words of one script."""
     return {w for w in WORD.findall(text) if w.isascii() or len(_scripts(w)) == 1}

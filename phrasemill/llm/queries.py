@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from ..plans.session import read_table, spread
 from ..queries import plain
+from .characters import PLAIN, TO_LATIN
 from . import encoding, fusion, groups, leakage, lookalikes, similarity, terms, topn
 
 QUERIES, ORACLE = {}, {}
@@ -43,7 +46,14 @@ def p3_found(spark, d):
 
 @query
 def p3_term_scores(spark, d):
-    return plain(terms.score_terms(_mapping(spark, d), _list(spark, d)))
+    """What the model of :func:`p3_distinctiveness` is fitted on, and the TF-IDF of every pair."""
+    return plain(terms.score_terms(_mapping(spark, d), _list(spark, d)).select("row_id", "candidate_id", "tf", "df", "n_docs", "idf", "tfidf"))
+
+
+@query
+def p3_distinctiveness(spark, d):
+    """How characteristic each candidate is of each of its documents, by the fitted mixtures."""
+    return plain(terms.score_terms(_mapping(spark, d), _list(spark, d)).select("row_id", "candidate_id", "elite_prob", "distinctiveness", "converged"))
 
 
 @query
@@ -102,10 +112,8 @@ def p8_ids(spark, d):
 
 @query
 def p8_round_trip(spark, d):
-    """Documents whose ids do not decode to their text; a null text counts as empty."""
-    docs = read_table(spark, d, "documents", "doc_id", "text")
-    back = encoding.decode_ids(p8_ids(spark, d), "doc_id", "ids", vocabulary()).withColumnRenamed("text", "back")
-    return docs.join(back, "doc_id").filter(~F.coalesce("text", F.lit("")).eqNullSafe(F.col("back"))).select("doc_id")
+    """Every document as its ids decode; a null text counts as empty."""
+    return encoding.decode_ids(p8_ids(spark, d), "doc_id", "ids", vocabulary())
 
 
 def _leak_tables(spark, d):
@@ -132,6 +140,11 @@ def p10_canonical(spark, d):
     return lookalikes.canonical_texts(spread(read_table(spark, d, "documents", "doc_id", "text")), "doc_id", "text").select("doc_id", "canonical")
 
 
+@query
+def p10_classes(spark, d):
+    return lookalikes.look_classes(spread(read_table(spark, d, "documents", "doc_id", "text")))
+
+
 _COUNTED = r"""ids AS (SELECT candidate_id, candidate FROM (SELECT *, row_number() OVER (PARTITION BY candidate_id ORDER BY candidate NULLS FIRST) AS rn FROM candidates_list WHERE candidate_id IS NOT NULL)
     WHERE rn = 1 AND regexp_matches(candidate, '\S')),
   counted AS (SELECT row_id, candidate_id, candidate FROM candidates_mapping JOIN ids USING (candidate_id) WHERE row_id IS NOT NULL),
@@ -164,4 +177,44 @@ ORACLE["p7_found"] = """WITH one AS (SELECT DISTINCT row_id, candidate_id, tfidf
     WHERE row_id IS NOT NULL AND candidate_id IS NOT NULL AND tfidf_score IS NOT NULL AND NOT isnan(tfidf_score)),
   n AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY tfidf_score DESC, semantic_score DESC NULLS LAST, candidate_id) AS k FROM one)
   SELECT row_id, candidate_id FROM n WHERE k <= 3"""
-ORACLE["p8_round_trip"] = "SELECT doc_id FROM documents WHERE false"
+ORACLE["p8_round_trip"] = "SELECT doc_id, coalesce(text, '') AS text FROM documents"
+ORACLE["p3_term_scores"] = f"""WITH {_COUNTED}, tfs AS (SELECT row_id, candidate_id, candidate, count(*) AS tf FROM counted GROUP BY ALL)
+  SELECT row_id, candidate_id, tfs.tf, df, n AS n_docs, round(ln((n + 1) / (df + 1)) + 1, 6) AS idf, round(tfs.tf * (ln((n + 1) / (df + 1)) + 1), 6) AS tfidf FROM tfs JOIN dfs USING (candidate), nn"""
+# Where the first place is clear, whatever weighs both scores equally finds it: here the sum of the two mean ranks.
+ORACLE["p6_found"] = """WITH one AS (SELECT row_id, candidate_id, max(CASE WHEN NOT isnan(tfidf_score) THEN tfidf_score END) AS t, max(CASE WHEN NOT isnan(semantic_score) THEN semantic_score END) AS s
+    FROM ranked_candidates WHERE row_id IN (SELECT row_id FROM ranking_requests) AND candidate_id IS NOT NULL GROUP BY ALL),
+  r AS (SELECT *, 2 * rank() OVER (PARTITION BY row_id ORDER BY t DESC NULLS LAST) + count(*) OVER (PARTITION BY row_id, t)
+      + 2 * rank() OVER (PARTITION BY row_id ORDER BY s DESC NULLS LAST) + count(*) OVER (PARTITION BY row_id, s) AS place FROM one)
+  SELECT row_id, arg_min(candidate_id, place * 1000000000000 + candidate_id) AS candidate_id FROM r GROUP BY 1"""
+
+
+def _looks(text: str, fold: str = "") -> str:
+    """SQL of a text as a reader sees it, with every look-alike letter as its Latin one."""
+    table = {chr(k): v for k, v in PLAIN.items() if len(v or "") < 2} | TO_LATIN
+    quoted = lambda x: x.replace("'", "''")
+    gone = "".join(k for k, v in table.items() if not v)
+    to = [(k, v) for k, v in table.items() if v]
+    longer = [(chr(k), v) for k, v in PLAIN.items() if len(v or "") > 1]
+    out = f"replace({text}, chr(13) || chr(10), ' ')"
+    for k, v in longer:
+        out = f"replace({out}, '{quoted(k)}', '{quoted(v)}')"
+    out = f"nfc_normalize(translate({out}, '{quoted(''.join(k for k, _ in to))}{gone}', '{quoted(''.join(v for _, v in to))}'))"
+    # Letters composed with a mark come apart only where they are look-alikes.
+    pairs = [(c, unicodedata.normalize("NFC", "".join(TO_LATIN.get(x, x) for x in unicodedata.normalize("NFD", c)))) for c in map(chr, range(0x370, 0x530)) if len(unicodedata.normalize("NFD", c)) > 1]
+    pairs = [(c, v) for c, v in pairs if len(v) == 1 and v != c]
+    return f"trim(nfc_normalize(translate({out}, '{''.join(c for c, _ in pairs)}', '{''.join(v for _, v in pairs)}')))"
+
+
+_LOOKS = f"l AS (SELECT doc_id, text, {_looks('text')} AS look FROM documents WHERE text IS NOT NULL)"
+ORACLE["p10_found"] = f"""WITH {_LOOKS} SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM l a JOIN l b ON a.look = b.look AND a.text <> b.text AND a.doc_id < b.doc_id
+  WHERE regexp_matches(a.look, '\\S')"""
+ORACLE["p10_classes"] = f"""WITH {_LOOKS}, s AS (SELECT look, text, min(doc_id) AS spelling_id, count(*) AS n FROM l WHERE regexp_matches(look, '\\S') GROUP BY ALL),
+  c AS (SELECT look, min(spelling_id) AS class_id, CAST(sum(n) AS BIGINT) AS class_size, count(*) AS n_spellings FROM s GROUP BY 1 HAVING count(*) > 1)
+  SELECT doc_id, class_id, spelling_id, class_size, n_spellings, class_size - n AS links FROM l JOIN s USING (look, text) JOIN c USING (look)"""
+# Runs of six words of an item that stand in a document cover their places in the item.
+ORACLE["p9_found"] = f"""WITH d AS (SELECT doc_id, regexp_extract_all(lower({_looks('text')}), '[\\p{{L}}\\p{{N}}_]+') AS w FROM documents WHERE text IS NOT NULL),
+  i AS (SELECT item_id, regexp_extract_all(lower({_looks('item_text')}), '[\\p{{L}}\\p{{N}}_]+') AS w FROM eval_items WHERE item_text IS NOT NULL),
+  dg AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 5], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 4)) AS p FROM d WHERE len(w) >= 6)),
+  ig AS (SELECT item_id, p, len(w) AS n, array_to_string(w[p:p + 5], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 4)) AS p FROM i WHERE len(w) >= 12)),
+  c AS (SELECT DISTINCT doc_id, item_id, n, p + k AS place FROM dg JOIN ig USING (g) CROSS JOIN (SELECT unnest(range(6)) AS k))
+  SELECT doc_id, item_id FROM c GROUP BY doc_id, item_id, n HAVING count(*) * 2 >= n"""
