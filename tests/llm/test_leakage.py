@@ -1,3 +1,4 @@
+import pickle
 import random
 
 from hypothesis import given, settings
@@ -30,6 +31,38 @@ def test_coverage_equals_brute_force(items, doc):
     assert got == {i: n for i, x in enumerate(items) if (n := brute(doc, x, 3))}
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("ab"), max_size=12), min_size=1, max_size=5), st.lists(st.sampled_from("abc"), max_size=30))
+def test_runs_and_spans_equal_brute_force(items, doc):
+    """The longest common run and the document's words inside common runs, also after a round trip through bytes."""
+    automaton = pickle.loads(pickle.dumps(leakage.SuffixAutomaton(enumerate(items), 2)))
+    got = automaton.covered(doc)
+    for i, x in enumerate(items):
+        runs = [(p, n) for n in range(2, len(x) + 1) for p in range(len(doc) - n + 1) if any(doc[p : p + n] == x[q : q + n] for q in range(len(x) - n + 1))]
+        assert (i in got) == bool(runs)
+        if runs:
+            assert got[i][1] == max(n for _, n in runs)
+            assert {k for a, b in got[i][2] for k in range(a, b)} == {k for p, n in runs for k in range(p, p + n)}
+
+
+def test_a_passage_of_many_items_is_reported_once():
+    shared = [f"w{i}" for i in range(200)]
+    automaton = leakage.SuffixAutomaton([(i, [f"a{i}", *shared, f"b{i}"]) for i in range(300)], 6)
+    reports = []
+    plain = automaton._report
+    automaton._report = lambda *a: (reports.append(a[1:]), plain(*a))
+    got = automaton.covered(["x", *shared, "y"])
+    assert len(got) == 300 and all(m.bit_count() == 200 and n == 200 and s == [(1, 201)] for m, n, s in got.values()) and len(reports) == 1
+
+
+def test_size_of_an_automaton_is_linear_in_the_words():
+    rng = random.Random(1)
+    items = [(i, [f"w{rng.randrange(5000)}" for _ in range(50)]) for i in range(1000)]
+    items += [(5000 + i, items[0][1]) for i in range(200)]  # copies add no states, only places
+    automaton = leakage.SuffixAutomaton(items)
+    assert automaton.nbytes() < 100 * sum(len(x) for _, x in items)
+
+
 def test_words_ignore_case_punctuation_and_disguises():
     assert seq("Ｓuppоse—ｓeven\n co​ated, CELLS") == ["suppose", "seven", "coated", "cells"]
     assert seq("café café") == ["café", "café"]
@@ -63,6 +96,8 @@ def test_item_blocks_give_the_same(spark, monkeypatch):
     whole = sorted(tuple(r) for r in leakage.find_leaks(d, i).collect())
     monkeypatch.setattr(leakage, "BLOCK_WORDS", 50)
     assert sorted(tuple(r) for r in leakage.find_leaks(d, i).collect()) == whole
+    monkeypatch.setattr(leakage, "PASS_BYTES", 6000)
+    assert sorted(tuple(r) for r in leakage.find_leaks(d, i).collect()) == whole
     want = {(k, j, n) for k, t in docs for j, x in items if (n := brute(t.split(), x.split()))}
     assert {r[:3] for r in whole} == want
 
