@@ -28,6 +28,29 @@ def distinct_counts(df: DataFrame, key: str, value: str) -> DataFrame:
     return pairs.groupBy(key).agg(F.sum("_n").alias("n_rows"), F.count(value).alias("n_distinct"))
 
 
+def spread_join(big: DataFrame, small: DataFrame, key: str, spread_by: str, counted: DataFrame | None = None, how: str = "inner") -> DataFrame:
+    """``big`` joined with ``small`` on ``key``, where a few keys may hold most rows of ``big``.
+
+    A key that holds more than its share of a partition is cut in as many parts as it fills partitions, by the hash of
+    ``spread_by``; its rows of ``small`` go to every part. Sizes are counted over ``counted`` (``big`` itself if not given, an
+    aggregate that combines map-side). No more keys can be heavy than there are partitions, so their list is bounded.
+    Null keys match nothing; ``how`` is ``inner`` or ``left_semi``.
+    """
+    spark = big.sparkSession
+    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sizes = (big if counted is None else counted).filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = sizes.agg(F.sum("_n").alias("_total")).scalar()
+    heavy = sizes.withColumn("_cut", F.ceil(F.col("_n") * parts / total).cast("int")).filter(F.col("_n") * parts > total).select(key, "_cut").collect()  # under one row a partition
+    if not heavy:
+        return big.join(small, key, how)
+    kind = big.schema[key].dataType.simpleString()
+    cuts = F.broadcast(spark.createDataFrame([(r[0], r[1]) for r in heavy], f"`{key}` {kind}, _cut INT"))
+    left = big.join(cuts, key, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("_cut")), F.lit(0)).cast("int")).drop("_cut")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_cut"), F.lit(1)) - 1))
+    right = small.join(cuts, key, "left").withColumn("_part", copies).drop("_cut")
+    return left.join(right, [key, "_part"], how).drop("_part")
+
+
 def dense_ids(df: DataFrame, order: Sequence[str], name: str, start: int = 0) -> DataFrame:
     """``df`` with a gapless ``name`` in the order of ``order`` (nulls first), numbered from ``start``.
 

@@ -6,18 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import starts_with_pattern
-from .balanced import distinct_counts
+from ..plans.storage import materialize
+from .balanced import distinct_counts, spread_join
 
 
 def cluster_documents(mapping: DataFrame, clusters: DataFrame) -> DataFrame:
     """``cluster_id, doc_count``: distinct non-null documents of the candidates that ``clusters`` puts in the cluster.
 
     Memberships are made distinct, so repeated rows count once and a candidate in two clusters counts in both. The join
-    is left to adaptive execution, which splits a hot candidate; the count range partitions (cluster, document), so a
-    hot cluster spreads as well. Clusters without documents do not appear.
+    cuts hot candidates in parts; its rows are written once, because range partitioning on (cluster, document) reads
+    them twice, to sample and to move. So a hot cluster spreads as well. Clusters without documents do not appear.
     """
     member = clusters.filter("candidate_id is not null and cluster_id is not null").select("candidate_id", "cluster_id").distinct()
-    rows = mapping.filter("row_id is not null").select("candidate_id", "row_id").join(member, "candidate_id")
+    named = mapping.filter("row_id is not null and candidate_id is not null").select("candidate_id", "row_id")
+    rows = materialize(spread_join(named, member, "candidate_id", "row_id").select("cluster_id", "row_id"), "members")
     return distinct_counts(rows, "cluster_id", "row_id").select("cluster_id", F.col("n_distinct").alias("doc_count"))
 
 

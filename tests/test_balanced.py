@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from phrasemill.operators import balanced
 from phrasemill.operators.balanced import dense_ids, distinct_counts, running_counts, running_sums
 from phrasemill.operators.coverage import cluster_documents, wrong_doc_counts
 
@@ -73,3 +74,15 @@ def test_wrong_doc_counts(spark):
     assert sorted(r.cluster_id for r in wrong_doc_counts(stated, mapping, clusters).collect()) == [20, 40, 50]
     assert wrong_doc_counts(stated.limit(0), mapping, clusters).collect() == []
     assert sorted(r.cluster_id for r in wrong_doc_counts(stated, mapping.limit(0), clusters).collect()) == [10, 20, 40, 50]
+
+
+def test_spread_join_equals_a_join_and_cuts_hot_keys(spark):
+    rows = [(1 if i % 3 == 0 else None if i % 50 == 1 else i % 70, i) for i in range(3000)]
+    big = spark.createDataFrame(rows, "k BIGINT, v BIGINT").repartition(3)
+    small = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (99, "d"), (None, "e")], "k BIGINT, name STRING")
+    out = balanced.spread_join(big, small, "k", "v")
+    assert out.columns == ["k", "v", "name"]
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, big.join(small, "k").collect()))
+    assert sorted(map(tuple, balanced.spread_join(big, small, "k", "v", how="left_semi").collect())) == sorted(map(tuple, big.join(small, "k", "left_semi").collect()))
+    assert "_part" in balanced.spread_join(big, small, "k", "v")._jdf.queryExecution().toString()
+    assert balanced.spread_join(big.limit(0), small, "k", "v").collect() == []
