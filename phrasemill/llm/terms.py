@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.balanced import spread_join
 from ..operators.ranking import unique_candidates
 from ..plans.storage import materialize
 
@@ -185,14 +186,15 @@ def score_terms(mapping: DataFrame, listed: DataFrame) -> DataFrame:
     has at most about sqrt(2 * occurrences) cells, so collecting one per term is bounded. Empty tables give no rows.
     """
     ids = term_ids(listed).select("candidate_id", "term")
-    pairs = mapping.filter("row_id is not null and candidate_id is not null").groupBy("candidate_id", "row_id").agg(F.count(F.lit(1)).alias("tf"))
-    known = materialize(pairs.join(ids, "candidate_id"), "pairs")
+    named = mapping.filter("row_id is not null and candidate_id is not null").select("candidate_id", "row_id")
+    pairs = named.groupBy("candidate_id", "row_id").agg(F.count(F.lit(1)).alias("tf"))
+    known = materialize(spread_join(pairs, ids, "candidate_id", "row_id", named), "pairs")
     per_string = known.groupBy("term", "row_id").agg(F.sum("tf").alias("k"))
     cells = per_string.groupBy("term", "k").agg(F.count(F.lit(1)).alias("n"))
     total = known.select("row_id").distinct().agg(F.count(F.lit(1)).alias("n_docs"))
     hist = cells.groupBy("term").agg(F.collect_list(F.struct("k", "n")).alias("h")).select("term", "h", total.scalar().alias("n_docs"))
     model = hist.mapInArrow(_fit, "term BIGINT, n_docs BIGINT, df BIGINT, share DOUBLE, high DOUBLE, low DOUBLE, converged BOOLEAN")
-    out = known.join(model, "term")
+    out = spread_join(known, model, "term", "row_id")
     idf = F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1
     log_odds = F.log(F.col("share")) - F.log1p(-F.col("share")) + F.col("tf") * (F.log("high") - F.log("low")) - (F.col("high") - F.col("low"))
     prob = F.when(F.col("low") <= 0, F.lit(1.0)).otherwise(1 / (1 + F.exp(-log_odds)))
@@ -278,7 +280,9 @@ def candidate_frequencies(mapping: DataFrame, listed: DataFrame, rare_below: int
     ``common_percent`` of the N documents do, else null. Strings without occurrences have zeros and are rare.
     """
     ids = term_ids(listed)
-    rows = mapping.filter("row_id is not null").select("candidate_id", "row_id").join(ids.select("candidate_id", "term"), "candidate_id").select("term", "row_id")
+    named = mapping.filter("row_id is not null and candidate_id is not null").select("candidate_id", "row_id")
+    # Read to sample the ranges, to scan them, and for N: written once.
+    rows = materialize(spread_join(named, ids.select("candidate_id", "term"), "candidate_id", "row_id").select("term", "row_id"), "rows")
     counts = term_frequencies(rows, "term", "row_id")
     total = rows.select("row_id").distinct().agg(F.count(F.lit(1)).alias("n_docs"))
     strings = ids.select("term", "candidate").distinct()
