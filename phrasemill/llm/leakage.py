@@ -19,8 +19,8 @@ from .characters import skeleton
 TOKEN = re.compile("[\\w­̀-ͯ​-‏‪-‮⁠-⁤︀-️﻿]+")
 PARTS = re.compile(r"\w+")
 LEAST_RUN, LEAST_WORDS, LEAST_SHARE, LONG_RUN = 6, 12, 0.5, 25
-#: Item words of one automaton, which takes up to about 80 bytes a word in a worker.
-BLOCK_WORDS = 2_000_000
+#: Item words of one automaton: about 55 bytes a word in a worker (80 at most seen), 500 while it is built.
+BLOCK_WORDS = 1_500_000
 #: Bytes of automata that a worker holds at once; items beyond it ask for another pass over the documents.
 PASS_BYTES = 400_000_000
 
@@ -138,9 +138,28 @@ class SuffixAutomaton:
     def _views(self) -> None:
         """Plain memory views, which give single numbers faster than arrays do."""
         self.view = {a: memoryview(getattr(self, a)) for a in self.ARRAYS}
+        # All words lead somewhere from the root, and the root's transitions come first, in the order of the words.
+        self.view["root"] = self.view["to"][: len(self.vocabulary)]
+        self.memo: dict[int, int] = {}
+
+    def _move(self, s: int, w: int) -> int:
+        """The state that ``w`` leads to from ``s``, which is not the root, or -1; remembered, up to a bound."""
+        first, word = self.view["first"], self.view["word"]
+        low, high, t = first[s], first[s + 1], -1
+        while low < high:
+            mid = (low + high) >> 1
+            x = word[mid]
+            if x == w:
+                t = self.view["to"][mid]
+                break
+            low, high = (mid + 1, high) if x < w else (low, mid)
+        if len(self.memo) >= 500_000:
+            self.memo.clear()
+        self.memo[s << 32 | w] = t
+        return t
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "view"} | {"vocabulary": "\n".join(self.vocabulary)}
+        return {k: v for k, v in self.__dict__.items() if k not in ("view", "memo")} | {"vocabulary": "\n".join(self.vocabulary)}
 
     def __setstate__(self, d):
         self.__dict__.update(d)
@@ -152,32 +171,29 @@ class SuffixAutomaton:
 
     def stream(self, seq: Iterable[str]) -> Iterator[tuple[int, int, int]]:
         """``(position, state, length)`` of the longest match that ends at a word, wherever it has ``least_run`` words."""
-        v, known, least = self.view, self.vocabulary.get, self.least
-        first, word, to, link, length = v["first"], v["word"], v["to"], v["link"], v["length"]
-
-        def move(s: int, w: int) -> int:
-            low, high = first[s], first[s + 1]
-            while low < high:
-                mid = (low + high) >> 1
-                x = word[mid]
-                if x == w:
-                    return to[mid]
-                low, high = (mid + 1, high) if x < w else (low, mid)
-            return -1
-
+        v, known, least, memo = self.view, self.vocabulary.get, self.least, self.memo
+        link, length, move, root = v["link"], v["length"], self._move, v["root"]
         s = n = 0
         for at, text in enumerate(seq):
             w = known(text, -1)
             if w < 0:
                 s = n = 0
                 continue
-            t = move(s, w)
-            if t < 0:
-                while s and t < 0:
-                    s = link[s]
-                    t = move(s, w)
-                n = length[s]
-            s, n = t, n + 1
+            if not s:
+                s, n = root[w], 1
+            else:
+                t = memo.get(s << 32 | w) or move(s, w)
+                if t < 0:
+                    while True:
+                        s = link[s]
+                        if not s:
+                            t = root[w]
+                            break
+                        t = memo.get(s << 32 | w) or move(s, w)
+                        if t > 0:
+                            break
+                    n = length[s]
+                s, n = t, n + 1
             if n >= least:
                 yield at, s, n
 
