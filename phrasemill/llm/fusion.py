@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,13 +13,18 @@ from pyspark.sql import functions as F
 from ..operators.balanced import running_sums
 from ..plans.storage import discard, materialize
 
-DAMPING, ROUNDS, BATCH_ROWS = 0.85, 150, 200_000
+DAMPING, BATCH_ROWS = 0.85, 200_000
 #: Items of a group that one task may hold (about 200 bytes each); larger groups walk as distributed tables.
 MOST_ITEMS = 1_000_000
 #: Values are compared, and the walk ends, by probability times group size, whose mean is 1 in a group of any size.
 DECIMALS, LEAST_CHANGE = 9, 1e-11
 
 
+def _rounds(damping: float, size: int) -> int:
+    """Rounds after which the walk over ``size`` items has converged from any start: each takes off ``1 - damping`` of the rest."""
+    return math.ceil(math.log(LEAST_CHANGE / (2 * max(size, 1))) / math.log(damping))
+
+
 class _Ladder:
     """One score's jumps inside each group: from an item uniformly to those not below it; from the highest, anywhere."""
 
@@ -43,7 +49,7 @@ class _Ladder:
         return out
 
 
-def stationary(group: np.ndarray, scores: list[np.ndarray], damping: float = DAMPING, rounds: int = ROUNDS) -> np.ndarray:
+def stationary(group: np.ndarray, scores: list[np.ndarray], damping: float = DAMPING, rounds: int | None = None) -> np.ndarray:
     """Stationary probability of every item, groups being contiguous runs numbered 0, 1, ...
 
     A walker picks one of the scores with equal chance and jumps to a uniformly chosen item among those not below its
@@ -56,7 +62,7 @@ def stationary(group: np.ndarray, scores: list[np.ndarray], damping: float = DAM
     ladders = [_Ladder(group, np.where(np.isnan(s), -np.inf, s), first, size) for s in scores]
     start = 1 / size[group]
     x = start
-    for _ in range(rounds):
+    for _ in range(rounds or _rounds(damping, size.max(initial=1))):
         nxt = damping * sum(ladder.step(x) for ladder in ladders) / len(ladders) + (1 - damping) * start
         if (np.abs(nxt - x) * size[group]).max(initial=0) < LEAST_CHANGE:
             return nxt
@@ -124,7 +130,7 @@ def _walk_large(items: DataFrame, group: str, item: str, names: list[str], dampi
         steps = running_sums(n, group, [s], "_m", f"_to{i}").select(group, s, f"_to{i}", (F.col(f"_to{i}") == F.col("_m")).alias(f"_top{i}"))
         x = x.join(steps, [group, s])
     x = materialize(x.join(size, group).withColumn("_x", 1 / F.col("_size")), "walk")
-    for _ in range(ROUNDS):
+    for _ in range(_rounds(damping, size.agg(F.max("_size")).first()[0])):
         moved = x
         for i, s in enumerate(names):
             y = x.groupBy(group, s).agg(F.sum(F.when(~F.col(f"_top{i}"), F.col("_x") / F.col(f"_to{i}")).otherwise(0.0)).alias("_y"))

@@ -60,7 +60,7 @@ def test_nulls_repeats_ties_and_extra_columns(spark):
 def test_large_groups_walk_as_tables_with_the_same_result(spark, monkeypatch):
     import phrasemill.llm.fusion as f
 
-    monkeypatch.setattr(f, "ROUNDS", 6)  # the same number of steps either way
+    monkeypatch.setattr(f, "_rounds", lambda damping, size: 6)  # the same number of steps either way
     rng = np.random.default_rng(5)
     rows = [(1, i, float(a), float(b)) for i, (a, b) in enumerate(zip(rng.integers(0, 9, 30), rng.normal(size=30)))] + [(2, i, float(i), None) for i in range(3)]
     df = spark.createDataFrame(rows, "g BIGINT, i BIGINT, a DOUBLE, b DOUBLE")
