@@ -179,6 +179,15 @@ ORACLE: dict[str, str] = {
     "q_chunk_assign": f"WITH {CHUNKS} SELECT row_id, chunk_no, chunk_id FROM chunks",
     "q_chunk_candidates": f"WITH {OCC}, {CHUNKS_ONLY} SELECT chunk_id, count(DISTINCT candidate) AS n_candidates FROM occ JOIN chunks USING (row_id) GROUP BY 1",
     "q_resume_pending": f"WITH {CHUNKS} SELECT row_id, chunk_no, chunk_id FROM chunks WHERE chunk_id NOT IN ('chunk_0000', 'chunk_0002')",
+    "q_source_documents": "SELECT row_id, title, abstract, office FROM source_docs",
+    "q_csv_list": "SELECT candidate_id, nullif(candidate, '') AS candidate, nullif(surface_form, '') AS surface_form, nullif(extraction_source, '') AS extraction_source FROM candidates_list",
+    "q_csv_mapping": "SELECT candidate_id, CAST(row_id AS VARCHAR) AS row_id FROM candidates_mapping",
+    "q_csv_clusters": "SELECT candidate_id, nullif(candidate, '') AS candidate, cluster_id, nullif(cluster_label, '') AS cluster_label, cluster_size FROM candidate_clusters",
+    "q_sorted_counts": f"WITH {DOC_COUNTS} SELECT row_number() OVER (ORDER BY doc_count DESC, cluster_id) AS place, cluster_id, doc_count FROM meta JOIN dc USING (cluster_id)",
+    "q_blacklist_file": "SELECT unnest([" + _in(BLACKLIST)[1:-1] + "]) AS candidate",
+    "q_chunk_store": f"WITH {CHUNKS} SELECT row_id, chunk_id FROM chunks",
+    "q_ranked_chunked": RANKED + " SELECT * FROM ranked",
+    "q_streamed_extract": f"WITH {OCC} SELECT row_id, candidate, surface_form, source_section, extraction_source, n_spans FROM occ",
     "p1_found": f"WITH {DOC_COUNTS} SELECT DISTINCT s.cluster_id FROM cluster_doc_counts s LEFT JOIN dc USING (cluster_id) WHERE s.cluster_id IS NOT NULL AND s.doc_count IS DISTINCT FROM coalesce(dc.doc_count, 0)",
     "p1_candidate_counts": "SELECT candidate_id, count(*) AS n_rows, count(DISTINCT row_id) AS n_distinct FROM candidates_mapping GROUP BY 1",
     "p1_doc_ordinals": "SELECT *, row_number() OVER (PARTITION BY candidate_id ORDER BY row_id NULLS FIRST) AS ordinal FROM (SELECT candidate_id, row_id, count(*) AS n_rows FROM candidates_mapping GROUP BY ALL)",

@@ -12,9 +12,10 @@ from .config import ExtractConfig, RankConfig
 from .functions.text import block_key, format_documents, get_formatter
 from .operators import balanced, cluster, components, coverage, dictionary, extract, ranking
 from .plans.session import read_table, spread
-from .plans.storage import materialize
-from .sources.chunks import assign_chunks
-from .sources.tables import latest_revision
+from .plans.storage import materialize, new_path
+from .sources.chunks import ChunkStore, assign_chunks
+from .sources.tables import latest_revision, load_blacklist, load_candidates_list, load_candidates_mapping, load_clusters, load_source_documents, write_clusters, write_table
+from .streaming.extract_stream import stream_occurrences
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -367,6 +368,80 @@ def q_resume_pending(spark, d):
     return plain(assign_chunks(documents(spark, d).select("row_id"), "row_id", CHUNK).join(done, "chunk_id", "left_anti").select("row_id", "chunk_no", "chunk_id"))
 
 
+def _written(spark, df, label, writer=write_table, suffix=".csv"):
+    """Path of ``df`` as a sink leaves it in the shared folder."""
+    return writer(df, new_path(spark, label) + suffix)
+
+
+@query
+def q_source_documents(spark, d):
+    docs = load_source_documents(spark, f"{d}/source_docs.parquet", "row_id", "title", "abstract")
+    return docs.select("row_id", "title", "abstract", "office")
+
+
+@query
+def q_csv_list(spark, d):
+    """The dictionary through its CSV sink and scan: literal words, quotes and commas stay."""
+    return load_candidates_list(spark, _written(spark, read_table(spark, d, "candidates_list"), "list"))
+
+
+@query
+def q_csv_mapping(spark, d):
+    """The mapping through CSV under other column names; document ids come back as text."""
+    other = read_table(spark, d, "candidates_mapping", "candidate_id", "row_id").withColumnsRenamed({"candidate_id": "cid", "row_id": "doc"})
+    return load_candidates_mapping(spark, _written(spark, other, "mapping"), {"candidate_id": "cid", "row_id": "doc"})
+
+
+@query
+def q_csv_clusters(spark, d):
+    return load_clusters(spark, _written(spark, _clusters(spark, d).withColumn("more", F.lit(1)), "clusters", write_clusters))
+
+
+@query
+def q_sorted_counts(spark, d):
+    """Document counts through the sorted sink, read back by part file and line."""
+    counts = coverage.cluster_doc_counts(_tables(spark, d)[0], _clusters(spark, d)).orderBy(F.desc("doc_count"), "cluster_id")
+    lines = spark.read.parquet(_written(spark, counts.select("cluster_id", "doc_count"), "counts", suffix=".parquet"))
+    return plain(balanced.dense_ids(lines.withColumn("at", F.monotonically_increasing_id()), ["at"], "place", 1).select("place", "cluster_id", "doc_count"))
+
+
+@query
+def q_blacklist_file(spark, d):
+    path = new_path(spark, "blacklist")
+    spark.createDataFrame([("# a comment",), ("",), *((f" {x.upper()} ",) for x in BLACKLIST)], "line STRING").write.text(path)
+    return load_blacklist(spark, path)
+
+
+@query
+def q_chunk_store(spark, d):
+    """Chunks saved by an interrupted and a second run, and read back together."""
+    chunks = assign_chunks(documents(spark, d).select("row_id"), "row_id", CHUNK).select("row_id", "chunk_id")
+    names, path = sorted(r[0] for r in chunks.select("chunk_id").distinct().collect()), new_path(spark, "chunks")
+    ChunkStore(path, "q", spark).save_all(names[:1], chunks.filter(F.col("chunk_id") == names[0]) if names else chunks)
+    again = ChunkStore(path, "q", spark)
+    again.save_all(again.pending(names), chunks.filter(F.col("chunk_id").isin(again.pending(names))))
+    return ChunkStore(path, "q", spark).load_all(spark, "row_id BIGINT")
+
+
+@query
+def q_ranked_chunked(spark, d):
+    """The ranking with semantic scores from a chunk store."""
+    store = ChunkStore(new_path(spark, "semantic"), "q", spark)
+    return plain(ranking.rank_candidates(*_tables(spark, d), documents(spark, d), RankConfig(doc_chunk_size=CHUNK), store))
+
+
+@query
+def q_streamed_extract(spark, d):
+    """Extraction over a stream of the documents' files."""
+    source, out, schema = new_path(spark, "stream"), new_path(spark, "occurrences"), "row_id BIGINT, title STRING, abstract STRING"
+    documents(spark, d).select("row_id", "title", "abstract").write.parquet(source)
+    listed = new_path(spark, "blacklist")
+    blacklist(spark).write.text(listed)
+    cfg = ExtractConfig(use_ngram_backoff=False, blacklist_path=listed)
+    stream_occurrences(spark, source, schema, out, new_path(spark, "progress"), cfg).awaitTermination()
+    return plain(spark.read.parquet(out).select("row_id", "candidate", "surface_form", "source_section", "extraction_source", "n_spans"))
+
+
 @query
 def p1_found(spark, d):
     return coverage.wrong_doc_counts(read_table(spark, d, "cluster_doc_counts", "cluster_id", "doc_count"), _tables(spark, d)[0], read_table(spark, d, "candidate_clusters", "candidate_id", "cluster_id"))

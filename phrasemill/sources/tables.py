@@ -24,7 +24,10 @@ def require_columns(df: DataFrame, needed: Iterable[str], what: str) -> None:
 
 
 def read_any(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Parquet or CSV by suffix (case-sensitive); a path without a suffix is a parquet folder."""
+    """Parquet or CSV by suffix (case-sensitive); a path without a suffix is a parquet folder.
+
+    A CSV doesn't tell an empty string from none: both come as null.
+    """
     suffix = PurePath(path).suffix
     if suffix in (".parquet", ""):
         return spark.read.parquet(path)
