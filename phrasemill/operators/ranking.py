@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from ..functions.text import format_documents, is_blank
 from ..functions.vectors import dot
 from ..plans.storage import materialize
 from ..sources.chunks import ChunkStore, assign_chunks
-from .balanced import dense_ids
+from .balanced import dense_ids, heavy_keys, running_sums, spread_join
 
 RANKED_COLUMNS = ("row_id", "candidate", "surface_form", "extraction_source", "tf", "df", "idf", "tfidf_score", "semantic_score", "rank_tfidf", "rank_semantic")
 
@@ -27,10 +29,10 @@ def canonical(mapping: DataFrame, listed: DataFrame) -> DataFrame:
     """``row_id, candidate_id, tf`` and the list's columns: one row per pair whose candidate is listed.
 
     Rows without a ``row_id`` are dropped before counting; unknown documents stay. Pairs fold map-side before the
-    shuffle; the join to the list runs on folded pairs, where adaptive execution splits a hot candidate.
+    shuffle; the join to the list runs on folded pairs, and cuts hot candidates in parts.
     """
     tf = mapping.filter(F.col("row_id").isNotNull() & F.col("candidate_id").isNotNull()).groupBy("candidate_id", "row_id").agg(F.count(F.lit(1)).alias("tf"))
-    return tf.join(unique_candidates(listed), "candidate_id")
+    return spread_join(tf, unique_candidates(listed), "candidate_id", "row_id", mapping)
 
 
 def compute_tfidf(canon: DataFrame, smoothed: bool = True, check_empty: bool = False) -> DataFrame:
@@ -49,14 +51,23 @@ def compute_tfidf(canon: DataFrame, smoothed: bool = True, check_empty: bool = F
     return out.withColumn("idf", idf).withColumn("tfidf_score", F.col("tf") * F.col("idf")).drop("_n")
 
 
-def rank_within(df: DataFrame, score: str, name: str, key: str = "row_id", digits: int = 9) -> DataFrame:
+def rank_within(df: DataFrame, score: str, name: str, key: str = "row_id", digits: int = 9, heavy: Collection = ()) -> DataFrame:
     """Adds ``name``: standard competition rank of ``score`` (descending, at ``digits`` decimals) within ``key``.
 
-    NaN and null scores share the last place.
+    NaN and null scores share the last place. Keys in ``heavy`` are not ranked by a window, which would bring each into one
+    task: their distinct scores are counted, summed up over range partitions, and joined back. With heavy keys ``df``
+    should be a written table, because it is read several times.
     """
     s = F.col(score).cast("double")
     clean = F.round(F.when(~F.isnan(s), s), digits)
-    return df.withColumn(name, F.rank().over(Window.partitionBy(key).orderBy(clean.desc_nulls_last())))
+    ranked = lambda x: x.withColumn(name, F.rank().over(Window.partitionBy(key).orderBy(clean.desc_nulls_last())))
+    if not heavy:
+        return ranked(df)
+    hot = F.coalesce(F.col(key).isin(*heavy), F.lit(False))
+    many = df.filter(hot).withColumn("_o", F.coalesce(-clean, F.lit(float("inf"))))  # ascending order is best first
+    counts = many.groupBy(key, "_o").agg(F.count(F.lit(1)).alias("_m"))
+    places = running_sums(counts, key, ["_o"], "_m", "_to").select(key, "_o", (F.col("_to") - F.col("_m") + 1).cast("int").alias(name))
+    return ranked(df.filter(~hot)).unionByName(many.join(places, [key, "_o"]).drop("_o"))
 
 
 def semantic_scores(canon: DataFrame, documents: DataFrame, embedder: Embedder | None = None) -> DataFrame:
@@ -115,7 +126,11 @@ def rank_candidates(mapping: DataFrame, listed: DataFrame, documents: DataFrame,
         scored = semantic_scores_chunked(materialize(weighted, "weighted"), texts, store, cfg.doc_chunk_size, embedder)
     else:
         scored = semantic_scores(weighted, texts, embedder)
-    ranked = rank_within(rank_within(scored, "tfidf_score", "rank_tfidf"), "semantic_score", "rank_semantic")
+    heavy = heavy_keys(canon, "row_id")
+    if heavy:
+        scored = materialize(scored, "scored")
+    ranked = rank_within(scored, "tfidf_score", "rank_tfidf", heavy=heavy)
+    ranked = rank_within(materialize(ranked, "ranked") if heavy else ranked, "semantic_score", "rank_semantic", heavy=heavy)
     return ranked.select(*RANKED_COLUMNS, *[c for c in ranked.columns if c not in RANKED_COLUMNS])
 
 

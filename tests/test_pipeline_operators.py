@@ -115,6 +115,13 @@ def test_rank_puts_missing_scores_last(spark):
     assert found(ranking.rank_within(df, "s", "r"), "i", "r") == [(1, 1), (2, 4), (3, 4), (4, 1), (5, 3)]
 
 
+def test_rank_of_heavy_documents_equals_the_window(spark):
+    rows = [(i % 3 and 1 or i % 7, i, None if i % 50 == 0 else float("nan") if i % 60 == 1 else float(i * 7 % 40) / 3) for i in range(600)] + [(None, 0, 1.0)]
+    df = spark.createDataFrame(rows, "row_id BIGINT, i BIGINT, s DOUBLE").repartition(3)
+    window = found(ranking.rank_within(df, "s", "r").fillna(-1, "row_id"), "row_id", "i", "r")
+    assert found(ranking.rank_within(df, "s", "r", heavy=[1, 5]).fillna(-1, "row_id"), "row_id", "i", "r") == window
+
+
 def test_similarity_edges_blocks_and_cap(spark):
     rows = [(0, "a", [1.0, 0.0]), (1, "a", [1.0, 0.0]), (2, "a", [0.6, 0.8]), (3, "b", [1.0, 0.0]), (4, "c", [1.0, 0.0]), (5, "c", [0.0, 1.0])]
     v = spark.createDataFrame(rows, "ord BIGINT, block STRING, vec ARRAY<DOUBLE>")
