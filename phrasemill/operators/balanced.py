@@ -31,11 +31,12 @@ def distinct_counts(df: DataFrame, key: str, value: str) -> DataFrame:
 def heavy_keys(df: DataFrame, key: str) -> dict:
     """Keys that hold more than a partition's share of the rows, each with the number of partitions it fills (rounded up).
 
-    One aggregate that combines map-side. No more keys can be heavy than there are partitions, so what comes to the
-    driver is bounded. Null is no key.
+    Sizes are estimated on a tenth of the rows, by an aggregate that combines map-side: they decide where rows go, never
+    which rows take part. No more keys can be heavy than there are partitions, so what comes to the driver is
+    bounded. Null is no key.
     """
     parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    sizes = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = df.filter(F.col(key).isNotNull()).select(key).sample(0.1, seed=1).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     total = sizes.agg(F.sum("_n").alias("_total")).scalar()
     share = F.col("_n") * parts / total
     return {r[0]: r[1] for r in sizes.filter(share > 1).select(key, F.ceil(share).cast("int")).collect()}
@@ -44,19 +45,17 @@ def heavy_keys(df: DataFrame, key: str) -> dict:
 def spread_join(big: DataFrame, small: DataFrame, key: str, spread_by: str, counted: DataFrame | None = None, how: str = "inner") -> DataFrame:
     """``big`` joined with ``small`` on ``key``, where a few keys may hold most rows of ``big``.
 
-    A key that holds more than its share of a partition is cut in as many parts as it fills partitions, by the hash of
-    ``spread_by``; its rows of ``small`` go to every part. Sizes are counted over ``counted`` (``big`` itself if not given).
-    Null keys match nothing; ``how`` is ``inner`` or ``left_semi``.
+    Keys that hold more than their share of a partition are cut in as many parts as the largest of them fills partitions,
+    by the hash of ``spread_by``; their rows of ``small`` go to every part. Sizes are taken from ``counted`` (``big`` itself if
+    not given). Null keys match nothing; ``how`` is ``inner`` or ``left_semi``.
     """
     heavy = heavy_keys(big if counted is None else counted, key)
     if not heavy:
         return big.join(small, key, how)
-    kind = big.schema[key].dataType.simpleString()
-    cuts = F.broadcast(big.sparkSession.createDataFrame(list(heavy.items()), f"`{key}` {kind}, _cut INT"))  # under one row a partition
-    left = big.join(cuts, key, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("_cut")), F.lit(0)).cast("int")).drop("_cut")
-    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_cut"), F.lit(1)) - 1))
-    right = small.join(cuts, key, "left").withColumn("_part", copies).drop("_cut")
-    return left.join(right, [key, "_part"], how).drop("_part")
+    cut, hot = max(heavy.values()), F.coalesce(F.col(key).isin(*heavy), F.lit(False))  # at most a key for each partition
+    part = F.when(hot, F.pmod(F.xxhash64(spread_by), F.lit(cut)).cast("int")).otherwise(0)
+    copies = F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(cut - 1))).otherwise(F.array(F.lit(0))))
+    return big.withColumn("_part", part).join(small.withColumn("_part", copies), [key, "_part"], how).drop("_part")
 
 
 def dense_ids(df: DataFrame, order: Sequence[str], name: str, start: int = 0) -> DataFrame:
