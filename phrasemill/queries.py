@@ -399,10 +399,11 @@ def q_csv_clusters(spark, d):
 
 @query
 def q_sorted_counts(spark, d):
-    """Document counts through the sorted sink, read back by part file and line."""
+    """Document counts through the sorted sink, read back by part file and row."""
     counts = coverage.cluster_doc_counts(_tables(spark, d)[0], _clusters(spark, d)).orderBy(F.desc("doc_count"), "cluster_id")
     lines = spark.read.parquet(_written(spark, counts.select("cluster_id", "doc_count"), "counts", suffix=".parquet"))
-    return plain(balanced.dense_ids(lines.withColumn("at", F.monotonically_increasing_id()), ["at"], "place", 1).select("place", "cluster_id", "doc_count"))
+    placed = balanced.dense_ids(lines.select("*", "_metadata.file_name", "_metadata.row_index"), ["file_name", "row_index"], "place", 1)
+    return plain(placed.select("place", "cluster_id", "doc_count"))
 
 
 @query
