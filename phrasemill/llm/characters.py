@@ -97,7 +97,19 @@ def _plain_table() -> dict[int, str | None]:
     return table
 
 
+def _class(points: list[int]) -> str:
+    """A pattern that matches any one of the sorted code points, by runs of consecutive ones."""
+    runs: list[list[int]] = []
+    for p in points:
+        if runs and p == runs[-1][1] + 1:
+            runs[-1][1] = p
+        else:
+            runs.append([p, p])
+    return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs) + "]"
+
+
 PLAIN = _plain_table()
+_TO_PLAIN = re.compile(_class(sorted(PLAIN)))
 _ASCII_GAP = re.compile(r"\r\n?|[\t\n\v\f]")
 
 
@@ -105,8 +117,8 @@ def plain(text: str) -> str:
     """``text`` without differences that no reader sees, apart from look-alike letters: NFC, with every single gap a space."""
     if text.isascii():
         return _ASCII_GAP.sub(" ", text).strip()
-    out = text.replace("\r\n", " ").translate(PLAIN)
-    return unicodedata.normalize("NFC", out).strip()
+    out = _TO_PLAIN.sub(lambda m: PLAIN[ord(m[0])] or "", text.replace("\r\n", " "))
+    return (out if unicodedata.is_normalized("NFC", out) else unicodedata.normalize("NFC", out)).strip()
 
 
 def skeleton(text: str) -> str:
