@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from ..plans.storage import materialize
 
 
+LEAST_SAMPLED = 1000
+
+
 def distinct_counts(df: DataFrame, key: str, value: str) -> DataFrame:
     """``key, n_rows, n_distinct`` of every key, heavy or not; null keys form one group, null values are not counted.
 
@@ -32,14 +35,15 @@ def heavy_keys(df: DataFrame, key: str) -> dict:
     """Keys that hold more than a partition's share of the rows, each with the number of partitions it fills (rounded up).
 
     Sizes are estimated on a tenth of the rows, by an aggregate that combines map-side: they decide where rows go, never
-    which rows take part. No more keys can be heavy than there are partitions, so what comes to the driver is
+    which rows take part. Keys with fewer than ``LEAST_SAMPLED`` rows in it, about ten times as many in all, burden no task and
+    are not heavy; of so few a sample would tell nothing. No more keys can be heavy than there are partitions, so what comes to the driver is
     bounded. Null is no key.
     """
     parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sizes = df.filter(F.col(key).isNotNull()).select(key).sample(0.1, seed=1).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     total = sizes.agg(F.sum("_n").alias("_total")).scalar()
     share = F.col("_n") * parts / total
-    return {r[0]: r[1] for r in sizes.filter(share > 1).select(key, F.ceil(share).cast("int")).collect()}
+    return {r[0]: r[1] for r in sizes.filter((share > 1) & (F.col("_n") >= LEAST_SAMPLED)).select(key, F.ceil(share).cast("int")).collect()}
 
 
 def spread_join(big: DataFrame, small: DataFrame, key: str, spread_by: str, counted: DataFrame | None = None, how: str = "inner") -> DataFrame:

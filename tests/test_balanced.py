@@ -77,7 +77,7 @@ def test_wrong_doc_counts(spark):
 
 
 def test_spread_join_equals_a_join_and_cuts_hot_keys(spark):
-    rows = [(1 if i % 3 == 0 else None if i % 50 == 1 else i % 70, i) for i in range(3000)]
+    rows = [(1 if i % 3 == 0 else None if i % 50 == 1 else i % 70, i) for i in range(40_000)]
     big = spark.createDataFrame(rows, "k BIGINT, v BIGINT").repartition(3)
     small = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (99, "d"), (None, "e")], "k BIGINT, name STRING")
     out = balanced.spread_join(big, small, "k", "v")
@@ -86,3 +86,4 @@ def test_spread_join_equals_a_join_and_cuts_hot_keys(spark):
     assert sorted(map(tuple, balanced.spread_join(big, small, "k", "v", how="left_semi").collect())) == sorted(map(tuple, big.join(small, "k", "left_semi").collect()))
     assert "_part" in balanced.spread_join(big, small, "k", "v")._jdf.queryExecution().toString()
     assert balanced.spread_join(big.limit(0), small, "k", "v").collect() == []
+    assert balanced.heavy_keys(big, "k").keys() == {1} and balanced.heavy_keys(big.limit(500), "k") == {}  # few rows are no burden
